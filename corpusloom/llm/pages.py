@@ -23,6 +23,8 @@ SAMPLE = 4000
 #: weight of a host's rate of spam against a page's own prediction, and pages a host needs for half of it
 HOST_WEIGHT, HOST_PRIOR = 0.15, 8.0
 SPAM_AT = 0.4
+#: texts of more characters are counted chunk by chunk (quality.py), not in this pass
+LONG = 65_536
 
 SCHEMA = "seq long, host string, dead boolean, share float, label int, shop boolean, features array<float>, lines array<int>, counts array<int>"
 _ARROW = pa.schema([("seq", pa.int64()), ("host", pa.string()), ("dead", pa.bool_()), ("share", pa.float32()), ("label", pa.int32()), ("shop", pa.bool_()), ("features", pa.list_(pa.float32())), ("lines", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
@@ -101,7 +103,7 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
                         label = spam.weak_label(feats, shop, sum(page.words))
                     if "lines" in want:
                         lines = [i + 1 for i, v in enumerate(page.label) if v == B.FURNITURE]
-                    if "counts" in want:
+                    if "counts" in want and len(text) <= LONG:
                         counts = kind_counts(page)
                 for col, v in zip(out, (seqs[k].as_py(), host_of(url), gone, share, label, shop, feats, lines, counts)):
                     col.append(v)
