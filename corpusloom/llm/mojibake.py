@@ -9,9 +9,15 @@ only accepted runs are replaced, so correct text beside them stays as it is.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import read_table, spread
 
 #: (written in, read as, kind): "seq" one character became several, "multi" a
 #: two-byte character became two, "letter" each letter became another letter
@@ -311,3 +317,38 @@ def repair(s: str | None) -> tuple[str | None, bool]:
                 hit = True
         out.append(line)
     return "\n".join(out), hit
+
+
+def repaired(df: DataFrame) -> DataFrame:
+    """(seq, title, text) to (seq, field, fixed) for each field that was found garbled; ``fixed`` has the spans restored that can be.
+
+    NULL and empty fields are clean.  Only affected fields leave the pass.
+    """
+    schema = pa.schema([("seq", pa.int64()), ("field", pa.string()), ("fixed", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for seq, title, text in zip(*(b.column(k) for k in range(3))):
+                for name, value in (("title", title), ("text", text)):
+                    fixed, hit = repair(value.as_py())
+                    if hit:
+                        rows.append((seq.as_py(), name, fixed))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, schema)], schema=schema)
+
+    return spread(df.select("seq", "title", "text")).mapInArrow(run, "seq long, field string, fixed string")
+
+
+def p4_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """seq, field and restored value of each garbled title or text."""
+    return repaired(read_table(spark, sf_dir, "extracted_text"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seq, field) of each title or text that was, wholly or in part, decoded wrongly."""
+    return p4_fixed(spark, sf_dir).select("seq", "field").distinct()
+
+
+def p4_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Affected fields by whether something stays lost (U+FFFD) after repair."""
+    return p4_fixed(spark, sf_dir).groupBy("field", F.contains("fixed", F.lit("\ufffd")).alias("lossy")).agg(F.count("*").alias("n"))
