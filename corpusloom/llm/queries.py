@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cutoff, leak, mojibake, pages, quality, repeats, tokens
+from . import cutoff, history, leak, mojibake, pages, quality, repeats, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": pages.p1_found,
@@ -18,6 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": mojibake.p4_found,
     "p4_fixed": mojibake.p4_fixed,
     "p4_lossy": mojibake.p4_lossy,
+    "p5_found": history.p5_found,
+    "p5_table": history.p5_table,
     "p6_found": repeats.p6_found,
     "p6_crossed": repeats.p6_crossed,
     "p6_stripped": repeats.p6_stripped,
