@@ -19,7 +19,7 @@ from ..operators import dedup as D
 from ..operators import fetch as E
 from ..operators import frontier as R
 from ..operators import reports as A
-from ..session import read_table, spread
+from ..session import durable, read_table, spread
 from ..sources import readers
 from ..streaming import jobs as S
 
@@ -366,14 +366,15 @@ def simhash_blake2b(spark, d):
 @query
 def near_dup_pairs(spark, d):
     """Pairs between the first documents of different hashes."""
-    reps = _hashed(spark, d).groupBy("simhash").agg(F.min("doc_id").alias("doc_id"))
+    reps = durable(_hashed(spark, d)).groupBy("simhash").agg(F.min("doc_id").alias("doc_id"))
     return D.near_pairs(reps, "doc_id").select("a", "b", F.col("distance").cast("int").alias("distance"))
 
 
 @query
 def near_dup_resolve(spark, d):
+    hashed = durable(_hashed(spark, d))
     exact = read_table(spark, d, "documents").select("doc_id", T.content_hash(F.coalesce("text", F.lit("")), "scored").alias("exact"))
-    return D.near_resolve(_hashed(spark, d).join(exact, "doc_id"), "doc_id")
+    return D.near_resolve(durable(hashed.join(exact, "doc_id")), "doc_id")
 
 
 # --- filters and limits ------------------------------------------------------
