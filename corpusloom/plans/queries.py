@@ -652,9 +652,14 @@ def _edges(spark, d) -> DataFrame:
     return _links(spark, d).select(U.normalize(F.col("from_url")).alias("from_url"), U.normalize(F.col("to_url")).alias("to_url"))
 
 
+def _starts(spark, d) -> DataFrame:
+    """The seed pages of the manifest."""
+    return _manifest(spark, d).where("source = 'seed'").select(U.normalize(F.col("url")).alias("url")).where("url is not null").distinct()
+
+
 @query
 def bfs_depth(spark, d):
-    return R.bfs(_edges(spark, d), _seeds(spark, d).select(U.normalize(F.col("seed_url")).alias("url")), 4)
+    return R.bfs(_edges(spark, d), _starts(spark, d), 4)
 
 
 @query
@@ -671,10 +676,10 @@ def one_hop_expand(spark, d):
 
 @query
 def sitemap_expand(spark, d):
-    """From the front pages through links of sitemaps: targets of kind sitemap are followed."""
-    e = _edges(spark, d)
-    s = e.where("from_url is not null and to_url is not null").select(F.col("from_url").alias("sitemap"), F.when(F.col("to_url").rlike(r"^https?://[^/]+/$"), "child").otherwise("page").alias("kind"), F.col("to_url").alias("url")).distinct()
-    return R.expand_sitemaps(s, _seeds(spark, d).select(U.normalize(F.col("seed_url")).alias("url")))
+    """From the seed pages: links of source sitemap_link are followed, page links are collected, over any number of rounds."""
+    f, t = U.normalize(F.col("from_url")), U.normalize(F.col("to_url"))
+    s = _links(spark, d).where("source <> 'feed'").select(f.alias("sitemap"), F.when(F.col("source") == "sitemap_link", "child").otherwise("page").alias("kind"), t.alias("url")).where("sitemap is not null and url is not null").distinct()
+    return R.expand_sitemaps(s, _starts(spark, d), 50)
 
 
 @query
