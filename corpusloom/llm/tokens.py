@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, spread
+from . import pieces as cuts
 
 #: characters of a piece, pieces that one merge takes, bytes of a run that is encoded in halves
 PIECE, FAN_IN, RUN = 65_536, 16, 4096
@@ -131,8 +132,8 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-_PART = "doc_id long, piece int, ids array<int>, starts array<int>"
-_PART_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))])
+_PART = "doc_id long, h long, piece int, ids array<int>, starts array<int>"
+_PART_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("piece", pa.int32()), ("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32()))])
 
 
 def encode_texts(df: DataFrame, path: str | None = None, piece: int = PIECE, fan_in: int = FAN_IN) -> DataFrame:
@@ -141,8 +142,8 @@ def encode_texts(df: DataFrame, path: str | None = None, piece: int = PIECE, fan
     NULL and empty texts get an empty list, never NULL.  Strings that look like
     special tokens are ordinary text.  Texts up to ``piece`` characters never
     leave their task; longer ones are cut, encoded in parallel and joined over a
-    fixed number of rounds with at most ``fan_in`` pieces in a group.  doc_id
-    must be unique among the long texts.
+    fixed number of rounds with at most ``fan_in`` pieces in a group.  Repeated
+    and NULL doc_ids keep their rows.
     """
     path = path or default_path()
 
@@ -155,22 +156,22 @@ def encode_texts(df: DataFrame, path: str | None = None, piece: int = PIECE, fan
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            got = [c.pieces(t.as_py()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))], schema=_PART_ARROW)
+            got = [c.pieces(t.as_py()) for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))], schema=_PART_ARROW)
 
     def merge(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["piece"])
         ids, starts = codec(path).tree([(r["ids"], r["starts"]) for r in rows])
-        return pa.Table.from_pylist([{"doc_id": rows[0]["doc_id"], "piece": rows[0]["piece"] // fan_in, "ids": ids, "starts": starts}], schema=_PART_ARROW)
+        return pa.Table.from_pylist([{"doc_id": rows[0]["doc_id"], "h": rows[0]["h"], "piece": rows[0]["piece"] // fan_in, "ids": ids, "starts": starts}], schema=_PART_ARROW)
 
     n = F.length("text")
     few = df.where(F.coalesce(n, F.lit(0)) <= piece).select("doc_id", "text").mapInArrow(short, "doc_id long, ids array<int>")
-    cut = df.where(n > piece).select("doc_id", "text", F.explode(F.sequence(F.lit(0), (F.ceil(n / piece) - 1).cast("int"))).alias("piece"))
-    parts = cut.select("doc_id", "piece", F.substring("text", F.col("piece") * piece + 1, F.lit(piece)).alias("text")).mapInArrow(part, _PART)
+    long, copies = cuts.cut(df, "doc_id", "text", piece)
+    parts = long.mapInArrow(part, _PART)
     # four rounds of 16 hold 16 ** 4 pieces, more than one string can have
     for _ in range(4):
-        parts = parts.groupBy("doc_id", F.floor(F.col("piece") / fan_in).alias("g")).applyInArrow(merge, _PART)
-    return few.unionByName(parts.select("doc_id", "ids"))
+        parts = parts.groupBy("doc_id", "h", F.floor(F.col("piece") / fan_in).alias("g")).applyInArrow(merge, _PART)
+    return few.unionByName(cuts.repeat(parts.select("doc_id", "h", "ids"), copies, "doc_id").select("doc_id", "ids"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
