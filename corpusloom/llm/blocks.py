@@ -65,7 +65,10 @@ WORDINGS = (
     r"advertisement", r"story continues below", r"weather in .{1,40}", r"-?\d+ degrees, .{1,40}", r"upcoming: .{1,100}", r"you have \d+ unread messages?", r"mo tu we th fr sa su", r"mon-fri \d.{1,20}", r"saturday by appointment",
 )
 
+#: no wording covers a longer block
+LONGEST_WORDING = 320
 _MENU = frozenset(x for words in MENU.values() for x in words.split("|"))
+_MENU_FIRST = frozenset(x.split(" ")[0] for x in _MENU)
 _RELATED = frozenset(RELATED.split("|"))
 
 
@@ -103,8 +106,10 @@ _CODE = re.compile(
 
 def folded(line: str) -> str:
     """The block in small letters, single spaces, without a bullet."""
-    x = _SPACES.sub(" ", line).strip().lower().replace("’", "'")
-    return _BULLET_ONLY.sub("", x)
+    x = " ".join(line.split()).lower()
+    if "’" in x:
+        x = x.replace("’", "'")
+    return x if x[:1].isalnum() else _BULLET_ONLY.sub("", x)
 
 
 def pieces(line: str) -> list[str]:
@@ -124,9 +129,11 @@ def is_menu(line: str, x: str) -> bool:
             return True
         if len(parts) >= 2 and parts[0] in _HEAD and _CRUMB.search(line):
             return True  # a breadcrumb
-    if 1 < x.count(" ") < 30:
+    if x[-1] not in ".!?" and 1 < x.count(" ") < 30:
         # entries of a menu without separators: cover the words greedily
         words, i, covered = x.split(" "), 0, 0
+        if words[0] not in _MENU_FIRST and words[1] not in _MENU_FIRST:
+            return False
         while i < len(words):
             for k in (3, 2, 1):
                 if " ".join(words[i : i + k]) in _MENU and i + k <= len(words):
@@ -146,6 +153,8 @@ _CRUMB = re.compile("\\s[»›>/]\\s")
 
 def furniture(line: str, x: str) -> int:
     """0: not furniture by wording; 1: furniture; 2: a heading above a list of other pages."""
+    if len(x) > LONGEST_WORDING:
+        return 0
     if x in _RELATED or x.rstrip(":") in _RELATED:
         return 2
     p = _HEADS.get(x[:1])
@@ -184,7 +193,7 @@ def shape(line: str, x: str, common: frozenset[str]) -> tuple[int, int, int, boo
     if s.count("\t") >= 2 or s.count(" | ") >= 2 or (s.count(";") >= 3 and stop < 0.15 * max(n, 1)):
         return ROW, n, stop, ends
     if cjk >= 8 and cjk >= 0.5 * len(x):
-        if ends or x.endswith(("。」", "、")) or cjk > 60:
+        if ends or x.endswith(("。」", "、")) or cjk > 60 or "。" in x:
             return PROSE, max(n, cjk // 2), stop, ends
     elif n >= 4 and (ends or n >= 14 and _INNER_END.search(x)) and stop >= 0.12 * n:
         return PROSE, n, stop, ends

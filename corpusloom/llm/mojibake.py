@@ -163,7 +163,13 @@ def _once(s: str) -> tuple[str, bool]:
     _, back = automaton()
     out, at, hit = [], 0, False
     letters = [0] * len(PAIRS)
-    for a, b, mask, count in _runs(s):
+    found = _runs(s)
+    # pairs that a form of more than two characters, or a chain of forms, shows beyond doubt in this line
+    sure = 0
+    for a, b, mask, count in found:
+        if mask & _SEQ and (count > 1 or b - a > 2):
+            sure |= mask & _SEQ
+    for a, b, mask, count in found:
         run = s[a:b]
         k = -1
         for i in range(len(PAIRS)):
@@ -172,7 +178,7 @@ def _once(s: str) -> tuple[str, bool]:
         if mask & _SEQ:
             m = mask & _SEQ
             k = (m & -m).bit_length() - 1
-            if count == 1 and b - a == 2 and not _plausible(s, a, b, PAIRS[k][1]):
+            if count == 1 and b - a == 2 and not (m & sure and PAIRS[k][1] == "cp1251") and not _plausible(s, a, b, PAIRS[k][1]):
                 k = -1
         elif mask & _MULTI and count >= 2 and b - a >= 4 and not (mask & _LETTER and _russian("".join(_LATIN_RUN.findall(s)), back)):
             m = mask & _MULTI
@@ -227,6 +233,12 @@ def _as_utf8(s: str) -> tuple[str, bool]:
         nonlocal hit
         run = m[0]
         for wrong in ("gb18030", "shift_jis", "cp949", "big5"):
+            try:  # most runs fail at their first character
+                head = run[:2].encode(wrong)
+                if not (0xC2 <= head[0] < 0xF5 and 0x80 <= head[1] < 0xC0):
+                    continue
+            except (UnicodeError, IndexError):
+                continue
             for cut in (0, 1):
                 part = run[: len(run) - cut] if cut else run
                 try:

@@ -65,14 +65,14 @@ def features(page: B.Page, common: frozenset[str]) -> list[float]:
     else:
         pairs = Counter(zip(ws, ws[1:]))
     words = Counter(ws)
-    top3 = sum(c for _, c in pairs.most_common(3))
+    top3 = sum(sorted(pairs.values(), reverse=True)[:3])
     lines = max(len(body), 1)
     prose = sum(len(page.folded[i]) for i in body if page.kind[i] == B.PROSE) / chars
     f = [0.0] * len(NAMES)
     f[0] = len(words) / n if n < 400 else len(words) / (n**0.5 * 20)
-    f[1] = words.most_common(1)[0][1] / n if words else 0.0
+    f[1] = max(words.values()) / n if words else 0.0
     f[2] = max(0, top3 - 3) / n  # pairs that stand once say nothing
-    f[3] = sum(c for w, c in words.items() if w in common) / n
+    f[3] = sum(words[w] for w in words.keys() & common) / n
     f[4] = prose
     f[10] = sum(words[w] for w in words.keys() & _COMMERCE) / n
     f[11] = min(n / lines, 200.0)
