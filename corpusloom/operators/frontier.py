@@ -65,7 +65,7 @@ def score(source: Column, url: Column, lastmod: Column, as_of: Column) -> Column
     has = F.coalesce(lastmod, F.lit("")) != ""
     seconds = F.unix_timestamp(as_of) - F.unix_timestamp(F.try_to_timestamp(lastmod))
     age = F.greatest(F.floor(seconds / 86400), F.lit(0))
-    fresh = F.coalesce(F.greatest(F.lit(0.0), 30 - F.least(F.lit(30.0), age / 7)), F.lit(0.0))
+    fresh = F.when(seconds.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), 30 - F.least(F.lit(30.0), age / 7)))
     path = F.lower(U.path_of(url))
     content = F.lit(False)
     for step in K.CONTENT_STEPS:

@@ -6,9 +6,8 @@ import gzip
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import url as U
@@ -148,7 +147,7 @@ class WetSource(DataSource):
         return "wet"
 
     def schema(self):
-        return T.StructType.fromDDL("path string, n bigint, target_url string, record_id string, headers map<string,string>")
+        return "path string, n bigint, target_url string, record_id string, headers map<string,string>"
 
     def reader(self, schema):
         return _WetReader(self.options)
