@@ -42,6 +42,10 @@ def test_long_texts_are_cut_and_counted_alike(spark):
     assert a == b
 
 
+def row(body):
+    return [x.tolist() if hasattr(x, "tolist") else x for x in history.index_row(body)]
+
+
 def _bodies(n=160, seed=5):
     """Random bodies with copies, near copies and chains of near copies."""
     rnd = random.Random(seed)
@@ -65,7 +69,7 @@ def test_history_against_brute_force(spark):
     bodies = _bodies()
     rows = []
     for seq, w in enumerate(bodies, 1):
-        h, h2, n, ids, keys, piv = history.index_row(" ".join(w))
+        h, h2, n, ids, keys, piv = row(" ".join(w))
         rows.append((seq, 0 if seq < 60 else 1, h, h2, n, ids, keys, piv))
     df = spark.createDataFrame(rows, history._COLS)
     got = {r.seq_b: r.seq_a for r in history.repeats(df).collect()}
@@ -93,7 +97,7 @@ def test_hot_keys_are_searched_in_rounds(spark, monkeypatch):
     for seq in range(1, 40):
         # one run that all share, and bodies that are else different; the last repeats the thirtieth
         own = [f"x{seq}_{i}" for i in range(60)] if seq < 39 else [f"x30_{i}" for i in range(60)]
-        h, h2, n, ids, keys, piv = history.index_row(" ".join(base[:20] + own + ([] if seq < 39 else ["end"])))
+        h, h2, n, ids, keys, piv = row(" ".join(base[:20] + own + ([] if seq < 39 else ["end"])))
         rows.append((seq, 1, h, h2, n, ids, keys, piv))
     got = {r.seq_b: r.seq_a for r in history.repeats(spark.createDataFrame(rows, history._COLS)).collect()}
     assert got == {39: 30}
