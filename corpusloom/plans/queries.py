@@ -196,12 +196,12 @@ def token_shingles(spark, d):
 @query
 def regex_extract_text(spark, d):
     h = _html()
-    return _x(spark, d).where("text is not null").select("seq", T.title_of_html(h).alias("title"), F.md5(T.text_of_html(h)).alias("text_md5"))
+    return spread(_x(spark, d).where("text is not null").select("seq", "title", "text", "url")).select("seq", T.title_of_html(h).alias("title"), F.md5(T.text_of_html(h)).alias("text_md5"))
 
 
 @query
 def regex_extract_links(spark, d):
-    x = _x(spark, d).where("text is not null").select("seq", F.explode(T.hrefs(_html())).alias("href"))
+    x = spread(_x(spark, d).where("text is not null").select("seq", "title", "text", "url")).select("seq", F.explode(T.hrefs(_html())).alias("href"))
     n = U.normalize(F.col("href"))
     return x.select("seq", "href", n.alias("normalized"), T.link_kind(n).alias("kind")).where("normalized is not null")
 
@@ -349,7 +349,7 @@ def ordered_distinct(spark, d):
 
 
 def _hashed(spark, d) -> DataFrame:
-    return D.simhash_md5(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+    return D.simhash_md5(spread(read_table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @query
