@@ -65,6 +65,8 @@ WORDINGS = (
     r"advertisement", r"story continues below", r"weather in .{1,40}", r"-?\d+ degrees, .{1,40}", r"upcoming: .{1,100}", r"you have \d+ unread messages?", r"mo tu we th fr sa su", r"mon-fri \d.{1,20}", r"saturday by appointment",
 )
 
+#: titles under the heading of a list of other pages
+MOST_RELATED = 5
 #: no wording covers a longer block
 LONGEST_WORDING = 320
 _MENU = frozenset(x for words in MENU.values() for x in words.split("|"))
@@ -266,7 +268,7 @@ class Analyzer:
                 for j in range(i + 1, n):
                     if label[j] == BLANK:
                         continue
-                    if label[j] != AMBIGUOUS or len(run) >= 8:
+                    if label[j] != AMBIGUOUS or len(run) >= MOST_RELATED or run and got[j][2] != got[run[0]][2]:
                         break
                     run.append(j)
                 # the last one may be the headline of the page itself
