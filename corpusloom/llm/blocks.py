@@ -87,6 +87,11 @@ def _by_head(patterns: tuple[str, ...]) -> tuple[dict[str, re.Pattern], re.Patte
 _HEADS, _REST = _by_head(WORDINGS)
 _REST_HINT = re.compile(r"cookie|クッキー|쿠키|partners store|, editor|\.\.\. ?\d|comment|accepts no|run by volunteers|haftung|responsabilité|無断|版权|무단|degrees|文|作者|글|^\(c\)|^home|^start")
 
+_BEYOND = re.compile("[^\\x00-\\x7f]+")
+_LOSSY_MENU = frozenset(_BEYOND.sub("�", x) for x in _MENU)
+_LOSSY_RELATED = frozenset(_BEYOND.sub("�", x) for x in _RELATED if x.isascii() or len(_BEYOND.sub("", x)) > 4)
+_LOSSY = re.compile("(?:" + "|".join(_BEYOND.sub("�", p) for p in WORDINGS if len(_BEYOND.sub("", p)) > 8) + r")\Z")
+
 _SPACES = re.compile(r"[\s\u00a0\u3000]+")
 _BULLET = re.compile(r"^(?:[*•·‣▪–—-]|\d{1,3}[.)]|[a-z]\))\s+")
 _BULLET_ONLY = re.compile(r"^[*•·‣▪–—-]\s+")
@@ -96,6 +101,8 @@ _END = re.compile(r"[.!?…。！？︒]['\"”’»」』)\]]*\Z|[:;]\Z")
 _STOP_END = re.compile(r"[.!?…。！？]['\"”’»」』)\]]*\s*\Z")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _CHAIN = re.compile(r" [|»›·•>] ")
+#: a line of talk: quoted from end to end
+_SPOKEN = re.compile("[\"“”„«「『].*[\"“”»」』]\\s*\\Z")
 _INNER_END = re.compile(r"[.!?…] ")
 _CJK = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 _URL = re.compile(r"https?://|www\.|\]\(")
@@ -162,6 +169,12 @@ def furniture(line: str, x: str) -> int:
     p = _HEADS.get(x[:1])
     if p is not None and p.match(x):
         return 1
+    if "�" in x:
+        # letters were lost: compare without telling letters beyond ASCII apart
+        y = _BEYOND.sub("�", x)
+        if y in _LOSSY_RELATED:
+            return 2
+        return 1 if _LOSSY.match(y) or y in _LOSSY_MENU or all(p in _LOSSY_MENU for p in pieces(y)) else 0
     if _REST_HINT.search(x) or x[:1].isdigit():
         if _REST.match(x):
             return 1
@@ -199,6 +212,8 @@ def shape(line: str, x: str, common: frozenset[str]) -> tuple[int, int, int, boo
             return PROSE, max(n, cjk // 2), stop, ends
     elif n >= 4 and (ends or n >= 14 and _INNER_END.search(x)) and stop >= 0.12 * n:
         return PROSE, n, stop, ends
+    elif n >= 3 and _SPOKEN.match(s):
+        return PROSE, n, stop, ends
     elif ends and n >= 5 and sum(c.isalpha() or c == " " for c in x) > 0.85 * len(x):
         return PROSE, n, stop, ends
     if _BULLET.match(s):

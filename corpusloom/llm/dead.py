@@ -33,7 +33,7 @@ LATIN_FILLER = frozenset(
     "turpis urna nunc augue nibh vestibulum praesent pellentesque vivamus nullam integer curabitur aenean phasellus maecenas suspendisse".split()
 )
 #: unfilled places of a template: {{x}}, ${x}, <%= x %>, [[x]], [INSERT X HERE], <X goes here>, %x%, @@x@@, __x__, {x}
-PLACE = re.compile(r"\{\{\{?[^{}\n]{1,40}\}?\}\}|\$\{[^{}\n]{1,40}\}|<%=?[^%\n]{1,40}%>|\[\[[^\[\]\n]{1,40}\]\]|\[insert [^\]\n]{1,40}\]|<[^<>\n]{1,40} goes here>|%[a-z_.]{3,40}%|@@[a-z_.]{3,40}@@|__[a-z_.]{3,40}__|\{[a-z_.]{3,40}\}", re.I)
+PLACE = re.compile(r"\{\{\{?[^{}\n]{1,40}\}?\}\}|\$\{[^{}\n]{1,40}\}|<%=?[^%\n]{1,40}%>|\[\[[^\[\]\n]{1,40}\]\]|\[insert [^\]\n]{1,40}\]|<[^<>\n]{1,40} goes here>|%[a-z0-9_.]{3,40}%|@@[a-z0-9_.]{3,40}@@|__[a-z0-9_.]{3,40}__|\{[a-z0-9_.]{3,40}\}", re.I)
 #: what stands around the places
 _FRAME = re.compile(r"welcome to|read more about|call us on|published|\bby\b|item:|hello|thank you for visiting|our\b|is available in|all rights reserved|contact|about")
 _TRACE = re.compile(r"""^\s*(?:at [\w.$]+\([\w.]+:\d+\).*|file "[^"]+", line \d+.*|#\w+ /\S+\(\d+\): .*|fatal error: .*|warning: undefined .*|traceback .*|[\w.]+(?:exception|error)(?::.*)?)\s*$""", re.I)
@@ -83,7 +83,7 @@ def is_dead(page: B.Page, title: str) -> tuple[bool, float]:
 
     The page's own title and the furniture around it don't count as an offer.
     """
-    covered = left = size = 0
+    covered = left = size = neutral = 0
     some = False
     for i, x in enumerate(page.folded):
         lab = page.label[i]
@@ -96,8 +96,9 @@ def is_dead(page: B.Page, title: str) -> tuple[bool, float]:
             continue
         if not c and lab == B.FURNITURE:
             continue
-        if not c and rest <= 16 and _CODE.sub("", x).strip(" .#:") == "":
-            rest = 0  # an address or a number
+        if not c and neutral < 3 and len(x) < 90 and _CODE.sub("", x).strip(" .#:") == "":
+            neutral += 1  # an address or a number
+            continue
         size += len(x)
         some = some or c > 0
         covered += len(x) if c and rest <= 0.6 * c + 3 else min(c, len(x))
