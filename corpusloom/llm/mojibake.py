@@ -195,14 +195,16 @@ def _once(s: str) -> tuple[str, bool]:
         m = "".join(_LATIN_RUN.findall(s))
         if len(m) >= 3 and (g := _russian(m, back)):
             return re.sub("[¨¸À-ÿ]+", lambda x: _decode(x[0], g[1], back[g[1]]), s), True
-        m = "".join(_SWAPPED.findall(s))
-        if m and (k := _swapped(m, back)) is not None:
-            return re.sub("[Ѐ-ӿ╦╠ЈЁ№]+", lambda x: _decode(x[0], k, back[k]), s), True
+        m, mixed = "".join(_CAPITALS.findall(s)), bool(_MIXED.search(s))
+        if (len(m) >= 5 or mixed) and (k := _swapped(m, back, mixed)) is not None:
+            return re.sub("[Ѐ-ӿ╦╠№]+", lambda x: _decode(x[0], k, back[k]), s), True
     return s, False
 
 
-#: Russian letters under the wrong one of its single-byte encodings: small and capital letters change places
-_SWAPPED = re.compile("(?<![Ѐ-ӿ])[а-яё╦Ј][А-ЯЁ╠╦]{2,}|[А-ЯЁ╦Ј╠]{2,}(?=[^Ѐ-ӿ]+[А-ЯЁ╦Ј╠]{2,}.*(?<![Ѐ-ӿ])[а-яё][А-ЯЁ]{2,})")
+#: Russian letters under the wrong one of its single-byte encodings: small letters become capitals
+_CAPITALS = re.compile("[А-ЯЁ╦╠ЈЃЂЄІЇЎҐ]{2,}|(?<=[а-яё])[╦Ј][А-ЯЁ]+")
+
+_MIXED = re.compile("(?<![Ѐ-ӿ])[а-яё][А-ЯЁ╦Ј]{2,}")
 
 
 def _latin(s: str) -> bool:
@@ -222,6 +224,8 @@ def _plausible(s: str, a: int, b: int, wrong: str) -> bool:
     return first in "ÃÂÅÄÆÇÐÑÎÏ├┬┼─╨╤√¬ƒ≈∆–—ÐпяΓ" or not first.isalpha()
 
 
+#: what a lone East Asian character may stand for
+_WEST = frozenset(_western() + _CYRILLIC + _CYRILLIC.upper())
 _CJK_RUN = re.compile("[぀-ヿ一-鿿가-힯｡-ﾟ㐀-䶿ㄅ-ㄩ豈-﫿\ue000-\uf8ff！-～、。・ゞ々〆〇]+[!-~]?")
 
 
@@ -250,7 +254,7 @@ def _as_utf8(s: str) -> tuple[str, bool]:
                 east = sum(c > "\u2e7f" for c in part)
                 before, after = s[m.start() - 1 : m.start()], s[m.end() : m.end() + 1]
                 near = (before.isascii() and before.isalpha()) or (after.isascii() and after.isalpha()) or (part[-1:].isascii() and part[-1:].isalpha())
-                if east >= 3 or near or _latin(s):
+                if east >= 3 or (near or _latin(s)) and all(c.isascii() or c in _WEST for c in text):
                     hit = True
                     return text + run[len(part) :]
         return run
@@ -296,15 +300,23 @@ def _russian(run: str, back: list[dict[str, str]]) -> tuple[int, int] | None:
     return best
 
 
-def _swapped(run: str, back: list[dict[str, str]]) -> int | None:
-    """The Cyrillic pair that brings small and capital letters back to their places."""
+def _likely(text: str) -> float:
+    """How much a run of Cyrillic letters looks like Russian: frequent letters less rare ones, by length."""
+    t = text.lower()
+    return (sum(c in "оеаинтсрвлк" for c in t) - 1.2 * sum(c in "щъфцэюхшчжѓђљњјћџґєіїў╦╠" for c in t)) / max(len(t), 1)
+
+
+def _swapped(run: str, back: list[dict[str, str]], mixed: bool) -> int | None:
+    """The Cyrillic pair that makes likely Russian in small letters of an unlikely run, or of words that begin small and go on in capitals."""
     best = None
     for k, (_, b, kind) in enumerate(PAIRS):
         if kind == "letter" and b != "cp1252":
             text = _decode(run, k, back[k])
-            low, f = sum(c in _VOWELS for c in text), sum(c in "оеаинтсрвл" for c in text)
-            if low >= 0.15 * len(text) and sum(map(str.islower, text)) >= 0.6 * len(text) and (best is None or f > best[0]):
-                best = (f, k)
+            v = sum(c in _VOWELS for c in text.lower())
+            if 0.2 * len(text) <= v <= 0.65 * len(text) and sum(map(str.islower, text)) >= 0.6 * len(text):
+                f = _likely(text)
+                if (mixed or f >= 0.2 and f > _likely(run) + 0.25) and (best is None or f > best[0]):
+                    best = (f, k)
     return best[1] if best else None
 
 

@@ -25,7 +25,7 @@ def test_double_garbling():
     assert mojibake.repair(bad) == ("déjà vu — là", True)
 
 
-@pytest.mark.parametrize("a, b", [("gbk", "cp1252"), ("cp1251", "cp1252"), ("cp1251", "koi8-r")])
+@pytest.mark.parametrize("a, b", [("gbk", "cp1252"), ("cp1251", "cp1252"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251")])
 def test_other_pairs(a, b):
     text = "我们在城市里看到了一个新的图书馆" if a == "gbk" else "Старый колодец стоит возле реки"
     assert mojibake.repair(mojibake.misread(text.encode(a), b)) == (text, True)
@@ -35,7 +35,7 @@ def test_utf8_read_as_gbk():
     assert mojibake.repair("He doesn’t know".encode().decode("gbk"))[0] == "He doesn’t know"
 
 
-@pytest.mark.parametrize("text", [None, "", "plain", "Le café «préféré» était à Paris.", "AMANHÃ será “AMANHÃ”", "Сайт РЁВ", "日本語、한국어 和中文", "Größe Übung weiß", "Ñandú ¿qué?", "naïve Ångström façade"])
+@pytest.mark.parametrize("text", [None, "", "plain", "Le café «préféré» était à Paris.", "AMANHÃ será “AMANHÃ”", "Сайт РЁВ", "УСЛОВИЯ ИСПОЛЬЗОВАНИЯ | КОНФИДЕНЦИАЛЬНОСТЬ", "СОСЕДНИЙ ЧЕРТЁЖ и Соседний чертёж", "홈 » Shop Slow Log Sale", "日本語、한국어 和中文", "Größe Übung weiß", "Ñandú ¿qué?", "naïve Ångström façade"])
 def test_correct_text_stays(text):
     assert mojibake.repair(text) == (text, False)
 
