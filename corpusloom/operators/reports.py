@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 
 def ratio(a: Column, b: Column, digits: int = 4) -> Column:
     """a / b, half-even at so many digits; 0 where b is 0 or NULL."""
@@ -22,13 +22,18 @@ def nearest_rank(df: DataFrame, value: str, quantiles: dict[str, float], method:
     """One row of percentiles that are values of the column, 0 where there is none.
 
     ``half_even`` takes index round((n - 1) q), ``floor`` takes index int(n q).
-    Values are counted first, so what is ordered is a row per different value,
-    and a long running sum is never needed over the rows themselves.
+    Values are counted first; the counts are range-partitioned, summed range by
+    range, and each range adds the sum of those before it, so no task orders all
+    values.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_c"))
-    total = counts.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"))
-    up_to = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_to", F.sum("_c").over(up_to)).crossJoin(F.broadcast(total))
+    ranged = durable(counts.repartitionByRange(value).withColumn("_p", F.spark_partition_id()))
+    sizes = ranged.groupBy("_p").agg(F.sum("_c").alias("_s"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sizes.select("_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    total = sizes.agg(F.coalesce(F.sum("_s"), F.lit(0)).alias("_n"))
+    up_to = Window.partitionBy("_p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cum = ranged.withColumn("_to", F.sum("_c").over(up_to)).join(F.broadcast(offsets), "_p").withColumn("_to", F.col("_to") + F.col("_off")).crossJoin(F.broadcast(total))
 
     def at(q: float) -> Column:
         if method == "floor":
