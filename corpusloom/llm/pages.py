@@ -18,11 +18,12 @@ from ..session import durable, read_table, spread
 from . import blocks as B
 from . import dead, mojibake, spam
 
-#: documented bound of the sample of weakly labelled rows (of each label) that the trees are fitted on
-SAMPLE = 4000
+#: documented bound of the sample of weakly labelled rows that the trees are fitted on: of spam, of prose, and of other text that is no spam
+SAMPLE = 3000
 #: weight of a host's rate of spam against a page's own prediction, and pages a host needs for half of it
 HOST_WEIGHT, HOST_PRIOR = 0.15, 8.0
-SPAM_AT = 0.4
+#: probability from which a page is spam; running text without a telling address needs more
+SPAM_AT, PROSE_SPAM_AT = 0.4, 0.6
 #: texts of more characters are counted chunk by chunk (quality.py), not in this pass
 LONG = 65_536
 
@@ -113,12 +114,13 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
 
 
 def fit_spam(prof: DataFrame) -> spam.BaggedTrees:
-    """Bagged trees fitted on at most SAMPLE weakly labelled pages of each label, taken by a hash of their ids."""
+    """Bagged trees fitted on at most SAMPLE weakly labelled pages of each kind, taken by a hash of their ids."""
     import numpy as np
 
+    prose = F.col("features")[spam.NAMES.index("prose")] > 0.7
     rows = []
-    for label in (0, 1):
-        rows += prof.where(F.col("label") == label).select("label", "features", F.xxhash64("seq").alias("h"), "seq").orderBy("h", "seq").limit(SAMPLE).collect()
+    for kind in (F.col("label") == 1, (F.col("label") == 0) & prose, (F.col("label") == 0) & ~prose):
+        rows += prof.where(kind).select("label", "features", F.xxhash64("seq").alias("h"), "seq").orderBy("h", "seq").limit(SAMPLE).collect()
     x = np.array([r.features for r in rows], dtype=float).reshape(len(rows), len(spam.NAMES))
     y = np.array([r.label for r in rows], dtype=float)
     return spam.BaggedTrees().fit(x, y)
@@ -144,13 +146,15 @@ def with_spam(prof: DataFrame, model: spam.BaggedTrees | None = None) -> DataFra
                 p[known] = model.predict(np.array([v.as_py() for v, k in zip(f, known) if k], dtype=float))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p, pa.float64())], names=[*batch.schema.names[:-1], "own"])
 
+    prof = prof.withColumn("prosy", F.coalesce(F.col("features")[spam.NAMES.index("prose")] > 0.7, F.lit(False)))
     kept = [c for c in prof.columns if c != "features"]
     schema = ", ".join(f"{c} {prof.schema[c].dataType.simpleString()}" for c in kept) + ", own double"
     scored = prof.select(*kept, "features").mapInArrow(predict, schema)
     hosts = scored.groupBy("host").agg((F.sum("own") / (F.count("*") + HOST_PRIOR)).alias("rate"))
     lift = F.when(F.col("shop") & (F.col("own") > 0.15), 0.15).otherwise(0.0)
     p = F.col("own") * (1 - HOST_WEIGHT) + F.col("rate") * HOST_WEIGHT + lift
-    return scored.join(hosts, "host").withColumn("p", p).withColumn("spam", (~F.col("dead")) & (p >= SPAM_AT))
+    least = F.when(F.col("prosy") & ~F.coalesce("shop", F.lit(False)), PROSE_SPAM_AT).otherwise(SPAM_AT)
+    return scored.join(hosts, "host").withColumn("p", p).withColumn("spam", (~F.col("dead")) & (p >= least))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

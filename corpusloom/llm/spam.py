@@ -11,7 +11,7 @@ from . import blocks as B
 
 # Words of commerce that stuffed pages and their addresses repeat, by language.
 COMMERCE = {
-    "en": "buy cheap best price deals online reviews top wholesale discount outlet coupon free sale original shop",
+    "en": "buy cheap best price deals online reviews top wholesale discount outlet coupon free sale original shop offers",
     "de": "kaufen billig günstig rabatt angebot preis bester test bestellen",
     "fr": "acheter cher prix promo soldes livraison meilleur avis boutique",
     "es": "comprar barato precio descuento oferta mejor tienda opiniones",
@@ -25,7 +25,7 @@ COMMERCE = {
 _COMMERCE = frozenset(w for ws in COMMERCE.values() for w in ws.split())
 #: words of commerce that are telling in an address, where plain adjectives stand too
 _SLUG = frozenset(w for k in ("en", "de", "fr", "es", "pt", "pl") for w in COMMERCE[k].split()) - {"cheap", "best", "test", "shop", "cher", "avis", "top", "free", "boutique", "günstig", "original", "sale"}
-NAMES = ("distinct", "top_word", "top_pair", "common", "prose", "urls", "tags", "arrows", "titles_in_row", "goods", "commerce", "line_words", "digits", "numbered", "same_start", "symbols", "cells", "list_pairs", "shouted", "near_words")
+NAMES = ("distinct", "top_word", "top_pair", "common", "prose", "urls", "tags", "arrows", "titles_in_row", "goods", "commerce", "line_words", "digits", "numbered", "same_start", "symbols", "cells", "list_pairs", "shouted", "near_words", "vowels", "long_words")
 _WORDS = re.compile(r"[^\W\d_]+")
 _TAG = re.compile(r"(?:#|tag:|<|\[)[^\W\d_][\w-]*[>\]]?(?![\w(])")
 _ARROW = re.compile(r"(?:→|»|\(more\)|\[more\]|read more|\.\.\.|…)\s*$", re.I)
@@ -33,6 +33,7 @@ _LINE_URL = re.compile(r"https?://|www\.|\]\(")
 _GOODS = re.compile(r"\bsku\b|in stock|add to cart|free shipping|\bsale\b|-\d\d ?%|[€$£¥]\s?\d|\bwas \d", re.I)
 _NUMBERED = re.compile(r"^\s*(?:\d{1,3}[.)]\s|v?\d+(?:\.\d+)+\s|[-*•]?\s*\d+(?:\.\d+)? (?:x|g|kg|ml|l|cm|mm|m|pcs|st)\b|[-*•] \d+ )|\.{4,} ?\d+\s*$")
 _PERSON = re.compile(r"^\s*[A-ZÀ-Ý][\w'’-]+(?: [A-ZÀ-Ý][\w'’-]+){1,2}(?:, [A-ZÀ-Ý]\w+| \(\d{4}\))?\s*$")
+_PLAIN = re.compile("[a-z]")
 _COUNTED = re.compile(r"[^\W\d_] \d{1,3}(?:,|$|;)")
 
 
@@ -74,6 +75,7 @@ def features(page: B.Page, common: frozenset[str]) -> list[float]:
     f[2] = max(0, top3 - 3) / n  # pairs that stand once say nothing
     f[3] = sum(words[w] for w in words.keys() & common) / n
     f[4] = prose
+    f[20] = 0.4
     f[10] = sum(words[w] for w in words.keys() & _COMMERCE) / n
     f[11] = min(n / lines, 200.0)
     f[19] = (words.get("near", 0) + words.get("in", 0)) / n
@@ -94,6 +96,10 @@ def features(page: B.Page, common: frozenset[str]) -> list[float]:
     f[16] = sum(page.kind[i] in (B.ROW, B.JUNK) for i in body) / lines
     f[17] = len(_COUNTED.findall(text)) / min(lines, 40)
     f[18] = sum(r.isupper() for r in raw) / lines
+    plain = len(_PLAIN.findall(text))
+    if plain > 0.3 * chars:
+        f[20] = sum(map(text.count, "aeiouy")) / plain
+    f[21] = min(len(text) / max(text.count(" ") + lines, 1), 100.0)
     return f
 
 
@@ -107,11 +113,18 @@ def weak_label(f: list[float], shop: bool, n_words: int) -> int:
         return 1
     if shop and g("prose") < 0.35 and g("numbered") < 0.5:
         return 1
-    if g("top_pair") > 0.16 and n_words > 40 and g("cells") < 0.2 and g("common") < 0.2 and g("numbered") < 0.3:
+    if g("arrows") > 0.25 and g("prose") < 0.3 and g("numbered") < 0.3 and n_words > 20:
+        return 1
+    if g("vowels") < 0.2 or (g("long_words") > 30 and g("urls") < 0.2 and g("tags") < 0.2):
+        return 0  # no words at all
+    ordered = g("cells") > 0.2 or g("numbered") > 0.3
+    if not ordered and n_words > 40 and (g("top_pair") > 0.16 and g("common") < 0.2 or g("top_pair") > 0.22 and g("distinct") < 0.35):
+        return 1
+    if not ordered and n_words > 40 and g("prose") < 0.2 and g("distinct") < 0.4 and g("top_pair") > 0.12:
         return 1
     if shop:
         return -1
-    if g("prose") > 0.7 and g("commerce") < 0.04 and (g("top_pair") < 0.1 or g("common") > 0.3 or n_words < 40):
+    if g("prose") > 0.7 and g("commerce") < 0.04 and (g("top_pair") < 0.1 or g("common") > 0.3 and g("distinct") > 0.35 or n_words < 40 and g("top_pair") < 0.2):
         return 0
     if g("numbered") > 0.6 or g("cells") > 0.6 or g("list_pairs") > 3:
         return 0
@@ -131,10 +144,13 @@ class BaggedTrees:
         if n == 0 or len(set(y.tolist())) < 2:
             self.forest = [[(-1, 0.0, -1, -1, float(y.mean()) if n else 0.0)]]
             return self
-        cuts = [np.unique(np.quantile(x[:, j], np.linspace(0.02, 0.98, self.cuts))) for j in range(m)]
+        # spam, prose and other text that is no spam: thresholds from each, and a share of each in every bootstrap sample
+        prose = x[:, _F["prose"]] > 0.7
+        sides = [k for k in (np.flatnonzero(y > 0.5), np.flatnonzero((y <= 0.5) & prose), np.flatnonzero((y <= 0.5) & ~prose)) if len(k)]
+        cuts = [np.unique(np.concatenate([np.quantile(x[k, j], np.linspace(0.02, 0.98, self.cuts)) for k in sides])) for j in range(m)]
         self.forest = []
         for _ in range(self.trees):
-            rows = rng.integers(0, n, n)
+            rows = np.concatenate([k[rng.integers(0, len(k), n // len(sides) + 1)] for k in sides])
             cols = rng.permutation(m)[: max(4, m * 2 // 3)]
             nodes: list[tuple] = []
             self._grow(x[rows], y[rows], 0, cols, cuts, nodes)

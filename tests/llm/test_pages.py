@@ -65,7 +65,7 @@ def test_trees_learn_a_rule():
     import numpy as np
 
     rng = np.random.default_rng(0)
-    x = rng.random((600, 20))
+    x = rng.random((600, len(spam.NAMES)))
     y = ((x[:, 3] > 0.5) & (x[:, 7] < 0.6)).astype(float)
     p = BaggedTrees().fit(x[:400], y[:400]).predict(x[400:])
     assert ((p > 0.5) == (y[400:] > 0.5)).mean() > 0.93
