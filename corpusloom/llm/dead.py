@@ -85,12 +85,16 @@ def is_dead(page: B.Page, title: str) -> tuple[bool, float]:
     """
     covered = left = size = neutral = 0
     some = False
+    find = automaton().iter
     for i, x in enumerate(page.folded):
         lab = page.label[i]
         if lab == B.BLANK or (page.kind[i] == B.FIXED):
             continue
         if left > 400 and left > 3 * covered:
             return False, covered / max(size, 1)  # already more than any notice leaves
+        if page.kind[i] == B.PROSE and page.words[i] >= 8 and page.stops[i] >= 0.2 * page.words[i] and "{" not in x and next(find(x), None) is None:
+            size, left = size + len(x), left + len(x)  # plain sentences without any of the phrases
+            continue
         c, rest = left_over(x)
         if not c and title and (x == title or x.endswith(title)) and not some:
             continue

@@ -33,6 +33,8 @@ _LINE_URL = re.compile(r"https?://|www\.|\]\(")
 _GOODS = re.compile(r"\bsku\b|in stock|add to cart|free shipping|\bsale\b|-\d\d ?%|[€$£¥]\s?\d|\bwas \d", re.I)
 _NUMBERED = re.compile(r"^\s*(?:\d{1,3}[.)]\s|v?\d+(?:\.\d+)+\s|[-*•]?\s*\d+(?:\.\d+)? (?:x|g|kg|ml|l|cm|mm|m|pcs|st)\b|[-*•] \d+ )|\.{4,} ?\d+\s*$")
 _PERSON = re.compile(r"^\s*[A-ZÀ-Ý][\w'’-]+(?: [A-ZÀ-Ý][\w'’-]+){1,2}(?:, [A-ZÀ-Ý]\w+| \(\d{4}\))?\s*$")
+_DIGIT = re.compile(r"\d")
+_SIGN = re.compile(r"[^\w\s]|_")
 _PLAIN = re.compile("[a-z]")
 _COUNTED = re.compile(r"[^\W\d_] \d{1,3}(?:,|$|;)")
 
@@ -89,10 +91,10 @@ def features(page: B.Page, common: frozenset[str]) -> list[float]:
     f[7] = sum(bool(_ARROW.search(r)) for r in raw) / lines
     f[8] = min(bars / (2 * lines), 3.0)
     f[9] = sum(bool(_GOODS.search(r)) for r in raw) / lines
-    f[12] = sum(c.isdigit() for c in text) / chars
+    f[12] = len(_DIGIT.findall(text)) / chars
     f[13] = sum(bool(_NUMBERED.search(r)) or bool(_PERSON.match(r)) for r in raw) / lines
     f[14] = starts.most_common(1)[0][1] / lines if lines > 3 else 0.0
-    f[15] = sum(not c.isalnum() and not c.isspace() for c in text) / chars
+    f[15] = len(_SIGN.findall(text)) / chars
     f[16] = sum(page.kind[i] in (B.ROW, B.JUNK) for i in body) / lines
     f[17] = len(_COUNTED.findall(text)) / min(lines, 40)
     f[18] = sum(r.isupper() for r in raw) / lines
