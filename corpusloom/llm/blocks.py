@@ -85,7 +85,8 @@ def _by_head(patterns: tuple[str, ...]) -> tuple[dict[str, re.Pattern], re.Patte
 
 
 _HEADS, _REST = _by_head(WORDINGS)
-_REST_HINT = re.compile(r"cookie|クッキー|쿠키|partners store|, editor|\.\.\. ?\d|comment|accepts no|run by volunteers|haftung|responsabilité|無断|版权|무단|degrees|文|作者|글|^\(c\)|^home|^start")
+#: what a block has that a pattern without a literal beginning may cover
+_REST_HINTS = ("cookie", "クッキー", "쿠키", "partners store", ", editor", "... ", "comment", "accepts no", "run by volunteers", "haftung", "responsabilité", "無断", "版权", "무단", "degrees", "文", "作者", "글", "(c)")
 
 _BEYOND = re.compile("[^\\x00-\\x7f]+")
 _LOSSY_MENU = frozenset(_BEYOND.sub("�", x) for x in _MENU)
@@ -175,7 +176,7 @@ def furniture(line: str, x: str) -> int:
         if y in _LOSSY_RELATED:
             return 2
         return 1 if _LOSSY.match(y) or y in _LOSSY_MENU or all(p in _LOSSY_MENU for p in pieces(y)) else 0
-    if _REST_HINT.search(x) or x[:1].isdigit():
+    if any(h in x for h in _REST_HINTS) or x[:1].isdigit() or x[:4] == "home" or x[:5] == "start":
         if _REST.match(x):
             return 1
     return 1 if is_menu(line, x) else 0
@@ -186,7 +187,7 @@ def shape(line: str, x: str, common: frozenset[str]) -> tuple[int, int, int, boo
     if len(x) > 50 and x[-1] in ".!?" and "http" not in x and "|" not in x and ";" not in x and "\t" not in line and x[0] not in "#<{[.@*-" and x[:1].isalpha():
         # a plain sentence needs no closer look
         parts = x.split(" ")
-        stop = sum(w in common for w in parts)
+        stop = sum(map(common.__contains__, parts))
         if len(parts) >= 8 and stop >= 0.15 * len(parts):
             return PROSE, len(parts), stop, True
     words = _WORD.findall(x)

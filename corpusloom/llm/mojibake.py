@@ -122,7 +122,8 @@ _SEQ = sum(1 << k for k, p in enumerate(PAIRS) if p[2] == "seq")
 _MULTI = sum(1 << k for k, p in enumerate(PAIRS) if p[2] == "multi")
 _LETTER = sum(1 << k for k, p in enumerate(PAIRS) if p[2] == "letter")
 #: characters that garbled text always has: without one of them a field is clean
-_HINT = re.compile("[\u0080-ÿŒ-ƒˆ-˝ΐ-ωЂ-ґ–-⁄™←-◿ﬁﬂ�぀-ヿ一-鿿가-힯｡-ﾟ]")
+_OTHER = re.compile("[\u0080-ÿŒ-ƒˆ-˝ΐ-ωЂ-ґ€™←-◿ﬁﬂ�]")
+_HINT = re.compile("[\u0080-ÿŒ-ƒˆ-˝ΐ-ωЂ-ґ€™←-◿ﬁﬂ�぀-ヿ一-鿿가-힯｡-ﾟ]")
 _EAST = re.compile("[぀-ヿ一-鿿가-힯｡-ﾟ]")
 _QUOTES = "”’»“‘«–—…·"
 _LATIN_RUN = re.compile("[¨¸À-ÿ]{3,}")
@@ -333,7 +334,7 @@ def repair(s: str | None) -> tuple[str | None, bool]:
     for line in s.split("\n"):
         if not line.isascii() and _HINT.search(line):
             for _ in range(3):
-                line, again = _once(line)
+                line, again = _once(line) if _OTHER.search(line) else (line, False)
                 if not again and _EAST.search(line):
                     line, again = _as_utf8(line)
                 if not again:

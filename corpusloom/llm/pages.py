@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import durable, read_table, spread
@@ -118,9 +118,10 @@ def fit_spam(prof: DataFrame) -> spam.BaggedTrees:
     import numpy as np
 
     prose = F.col("features")[spam.NAMES.index("prose")] > 0.7
-    rows = []
-    for kind in (F.col("label") == 1, (F.col("label") == 0) & prose, (F.col("label") == 0) & ~prose):
-        rows += prof.where(kind).select("label", "features", F.xxhash64("seq").alias("h"), "seq").orderBy("h", "seq").limit(SAMPLE).collect()
+    kind = F.when(F.col("label") == 1, 2).when(F.col("label") == 0, prose.cast("int"))
+    # ranks up to a limit are cut map side: three kinds, SAMPLE rows of each from every task at most
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("h", "seq"))
+    rows = prof.select("label", "features", "seq", kind.alias("kind"), F.xxhash64("seq").alias("h")).where("kind is not null").withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("label", "features").collect()
     x = np.array([r.features for r in rows], dtype=float).reshape(len(rows), len(spam.NAMES))
     y = np.array([r.label for r in rows], dtype=float)
     return spam.BaggedTrees().fit(x, y)
