@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ WHOLE, OPEN, CUT, SENTENCE, MARKED = 0, 1, 2, 3, 4
 LIMIT_ROWS, LIMIT_SHARE, LIMIT_NEAR, LIMIT_LEAST = 3, 0.02, 12, 100
 #: a last word is a cut one if a longer word of this start is so much more frequent
 CUT_FACTOR, CUT_LEAST = 8, 6
+#: a last line is usual if so many different texts end in it, and it has such a share of its source's open ends, or of all of them on as many sources
+USUAL_TEXTS, USUAL_OWN, USUAL_ALL = 3, 0.02, 0.002
 
 #: blocks before the end that are labelled with the last one
 BACK = 16
@@ -150,8 +153,8 @@ def _tail(line: str) -> bool:
     return line.rstrip()[-1:] in "})];>"
 
 
-_SCHEMA = "kind int, doc_id long, source string, n long, state int, word string, line long, count long"
-_ARROW = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("state", pa.int32()), ("word", pa.string()), ("line", pa.int64()), ("count", pa.int64())])
+_SCHEMA = "kind int, doc_id long, source string, n long, bytes long, state int, word string, line long, same_text long, count long"
+_ARROW = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("source", pa.string()), ("n", pa.int64()), ("bytes", pa.int64()), ("state", pa.int32()), ("word", pa.string()), ("line", pa.int64()), ("same_text", pa.int64()), ("count", pa.int64())])
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -163,9 +166,9 @@ def endings(df: DataFrame, words: list[str]) -> DataFrame:
         seen: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
-            got = [(1, None, None, None, None, w, None, c) for w, c in seen.items() if c > 0 and len(w) < 40]
+            got = [(1, None, None, None, None, None, w, None, None, c) for w, c in seen.items() if c > 0 and len(w) < 40]
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*got) if got else [[]] * 8, _ARROW)], schema=_ARROW)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*got) if got else [[]] * len(_ARROW), _ARROW)], schema=_ARROW)
 
         for b in batches:
             rows = []
@@ -177,8 +180,9 @@ def endings(df: DataFrame, words: list[str]) -> DataFrame:
                 seen.update(_TOKEN.findall(t.lower()))
                 if word:
                     seen[word] -= 1  # what may be cut is no evidence of a word
-                rows.append((0, doc.as_py(), source.as_py(), len(t), state, word, hash_line(x), None))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * 8, _ARROW)], schema=_ARROW)
+                raw = t.encode("utf-8", "surrogatepass")
+                rows.append((0, doc.as_py(), source.as_py(), len(t), len(raw), state, word, hash_line(x), xxhash.xxh64_intdigest(raw) - (1 << 63), None))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_ARROW), _ARROW)], schema=_ARROW)
             if len(seen) > 200_000:
                 yield flush()
         yield flush()
@@ -187,8 +191,6 @@ def endings(df: DataFrame, words: list[str]) -> DataFrame:
 
 
 def hash_line(x: str) -> int:
-    import xxhash
-
     return xxhash.xxh64_intdigest(re.sub(r"\d+", "0", x)) - (1 << 63)
 
 
@@ -200,15 +202,23 @@ def judge(found: DataFrame) -> DataFrame:
     starts = counts.where("length(word) > 1 and c >= 3").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.col("word").substr(F.lit(1), k))).alias("word"), "c").groupBy("word").agg(F.max("c").alias("longer"))
     known = starts.join(counts, "word", "left").select("word", "longer", F.coalesce("c", F.lit(0)).alias("own"))
     open_docs = docs.where(F.col("state") == OPEN).withColumn("start", F.col("word").endswith("\n")).withColumn("word", F.rtrim(F.regexp_replace("word", "\n", "")))
-    same = open_docs.groupBy("line").agg(F.count("*").alias("same"))
-    checked = open_docs.join(same, "line").join(known, "word", "left")
+    # different texts, not rows: copies of one cut text don't vouch for each other; shares, so that a larger corpus doesn't make chance meetings usual
+    texts = open_docs.select("line", "source", "same_text").distinct()
+    own = texts.groupBy("line", "source").agg(F.count("*").alias("own_texts"))
+    of_source = texts.groupBy("source").agg(F.countDistinct("same_text").alias("of_source"))
+    of_line = texts.groupBy("line").agg(F.countDistinct("same_text").alias("all_texts"), F.countDistinct("source").alias("sources"))
+    of_all = texts.agg(F.countDistinct("same_text").alias("of_all"))
+    here = own.join(of_source.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).join(of_line, "line").crossJoin(F.broadcast(of_all))
+    usual = F.col("source").isNotNull() & (F.col("own_texts") >= USUAL_TEXTS) & (F.col("own_texts") >= USUAL_OWN * F.col("of_source")) | (F.col("all_texts") >= USUAL_TEXTS) & (F.col("sources") >= USUAL_TEXTS) & (F.col("all_texts") >= USUAL_ALL * F.col("of_all"))
+    usual_lines = here.where(usual).select(F.col("line").alias("_line"), F.col("source").alias("_source"), F.lit(True).alias("usual"))
+    checked = open_docs.join(usual_lines, (F.col("line") == F.col("_line")) & F.col("source").eqNullSafe(F.col("_source")), "left").join(known, "word", "left").withColumn("usual", F.coalesce("usual", F.lit(False)))
     half = (F.length("word") >= 3) & (F.col("longer") >= CUT_FACTOR * (F.coalesce("own", F.lit(0)) + 1)) & (F.col("longer") >= CUT_LEAST)
-    by_word = checked.select("doc_id", F.when(F.col("same") >= 3, False).otherwise(F.coalesce(half, F.lit(False)) | F.col("start")).alias("half"), (F.col("same") >= 3).alias("usual"))
+    by_word = checked.select("doc_id", "same_text", (F.coalesce(half, F.lit(False)) | F.col("start") & ~F.col("usual")).alias("half"), "usual").distinct()
     # lengths at which open ends pile up
     rows = docs.groupBy("source").agg(F.count("*").alias("rows"))
     piles = docs.where(F.col("state").isin(OPEN, CUT) & (F.col("n") >= LIMIT_LEAST) & F.col("source").isNotNull()).groupBy("source", "n").agg(F.count("*").alias("pile"))
     limits = piles.join(rows, "source").where((F.col("pile") >= LIMIT_ROWS) & (F.col("pile") >= LIMIT_SHARE * F.col("rows"))).groupBy("source").agg(F.max_by("n", F.struct("pile", "n")).alias("limit"))
-    j = docs.join(by_word, "doc_id", "left").join(limits, "source", "left")
+    j = docs.join(by_word, ["doc_id", "same_text"], "left").join(limits, "source", "left")
     near = F.col("limit").isNotNull() & (F.col("n") <= F.col("limit")) & (F.col("n") >= F.col("limit") - LIMIT_NEAR)
     exact = F.col("limit").isNotNull() & (F.col("n") == F.col("limit"))
     cut = (F.col("state") == CUT) | ((F.col("state") == MARKED) & near) | ((F.col("state") == OPEN) & (F.col("half") | exact | (near & ~F.coalesce("usual", F.lit(False)))))
