@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import durable, read_table, spread
@@ -23,8 +23,10 @@ from . import blocks as B
 from . import dead, mojibake, pages
 
 WHOLE, OPEN, CUT, SENTENCE, MARKED = 0, 1, 2, 3, 4
-#: a length is a limit of a source if so many of its texts, and such a share of them, end open there
-LIMIT_ROWS, LIMIT_SHARE, LIMIT_NEAR, LIMIT_LEAST = 3, 0.02, 12, 100
+#: a length is a limit of a source if so many of its different texts end open there, and so many times the spread above what its neighbours lead to expect
+LIMIT_ROWS, LIMIT_OUT, LIMIT_NEAR, LIMIT_LEAST = 3, 12.0, 12, 100
+#: lengths on either side that count as neighbours, without the nearest LIMIT_NEAR
+LIMIT_AROUND = 64
 #: a last word is a cut one if a longer word of this start is so much more frequent
 CUT_FACTOR, CUT_LEAST = 8, 6
 #: a last line is usual if so many different texts end in it, and it has such a share of its source's open ends, or of all of them on as many sources
@@ -194,6 +196,15 @@ def hash_line(x: str) -> int:
     return xxhash.xxh64_intdigest(re.sub(r"\d+", "0", x)) - (1 << 63)
 
 
+def _limits(ends: DataFrame, size: str) -> DataFrame:
+    """(source, length, pile): the lengths whose pile of open ends stands out against those around it, as many as there are."""
+    piles = ends.where(F.col(size) >= LIMIT_LEAST).groupBy("source", F.col(size).alias("length")).agg(F.countDistinct("same_text").alias("pile"))
+    w = Window.partitionBy("source").orderBy("length")
+    around = F.sum("pile").over(w.rangeBetween(-LIMIT_AROUND, LIMIT_AROUND)) - F.sum("pile").over(w.rangeBetween(-LIMIT_NEAR, LIMIT_NEAR))
+    usual = (around + 1) / (2 * (LIMIT_AROUND - LIMIT_NEAR))
+    return piles.withColumn("usual", usual).where((F.col("pile") >= LIMIT_ROWS) & (F.col("pile") >= F.col("usual") + LIMIT_OUT * F.sqrt("usual"))).drop("usual")
+
+
 def judge(found: DataFrame) -> DataFrame:
     """(doc_id, source, n, cut, at_limit) of each non-blank text from the rows of ``endings``."""
     docs = found.where("kind = 0")
@@ -214,15 +225,26 @@ def judge(found: DataFrame) -> DataFrame:
     checked = open_docs.join(usual_lines, (F.col("line") == F.col("_line")) & F.col("source").eqNullSafe(F.col("_source")), "left").join(known, "word", "left").withColumn("usual", F.coalesce("usual", F.lit(False)))
     half = (F.length("word") >= 3) & (F.col("longer") >= CUT_FACTOR * (F.coalesce("own", F.lit(0)) + 1)) & (F.col("longer") >= CUT_LEAST)
     by_word = checked.select("doc_id", "same_text", (F.coalesce(half, F.lit(False)) | F.col("start") & ~F.col("usual")).alias("half"), "usual").distinct()
-    # lengths at which open ends pile up
-    rows = docs.groupBy("source").agg(F.count("*").alias("rows"))
-    piles = docs.where(F.col("state").isin(OPEN, CUT) & (F.col("n") >= LIMIT_LEAST) & F.col("source").isNotNull()).groupBy("source", "n").agg(F.count("*").alias("pile"))
-    limits = piles.join(rows, "source").where((F.col("pile") >= LIMIT_ROWS) & (F.col("pile") >= LIMIT_SHARE * F.col("rows"))).groupBy("source").agg(F.max_by("n", F.struct("pile", "n")).alias("limit"))
-    j = docs.join(by_word, ["doc_id", "same_text"], "left").join(limits, "source", "left")
-    near = F.col("limit").isNotNull() & (F.col("n") <= F.col("limit")) & (F.col("n") >= F.col("limit") - LIMIT_NEAR)
-    exact = F.col("limit").isNotNull() & (F.col("n") == F.col("limit"))
+    # lengths at which open ends pile up: in characters or bytes, whichever a source's largest pile is in, then in the other among the texts that are at no such limit
+    ends = docs.where(F.col("state").isin(OPEN, CUT) & F.col("source").isNotNull()).select("source", "n", "bytes", "same_text").distinct()
+    both = [_limits(ends, size) for size in ("n", "bytes")]
+    most = [x.groupBy("source").agg(F.max("pile").alias(name)) for x, name in zip(both, ("c", "b"))]
+    by_bytes = most[1].join(most[0], "source", "left").where(F.col("b") > F.coalesce("c", F.lit(0))).select("source")
+    first = (both[0].join(by_bytes, "source", "left_anti"), both[1].join(by_bytes, "source", "left_semi"))
+    rest = ends.join(first[0].select("source", F.col("length").alias("n")), ["source", "n"], "left_anti").join(first[1].select("source", F.col("length").alias("bytes")), ["source", "bytes"], "left_anti")
+    in_chars = first[0].unionByName(_limits(rest.join(by_bytes, "source", "left_semi"), "n"))
+    in_bytes = first[1].unionByName(_limits(rest.join(by_bytes, "source", "left_anti"), "bytes"))
+    top = in_chars.unionByName(in_bytes).groupBy("source").agg(F.max_by("length", F.struct("pile", "length")).alias("limit"))
+    lists = [found.groupBy("source").agg(F.sort_array(F.collect_set("length")).alias(name)) for found, name in ((in_chars, "char_limits"), (in_bytes, "byte_limits"))]
+    j = docs.join(by_word, ["doc_id", "same_text"], "left").join(top, "source", "left").join(lists[0], "source", "left").join(lists[1], "source", "left")
+
+    def at(below: int):
+        hit = lambda limits, size: F.coalesce(F.exists(limits, lambda x: (F.col(size) <= x) & (F.col(size) >= x - below)), F.lit(False))
+        return hit("char_limits", "n") | hit("byte_limits", "bytes")
+
+    near, exact = at(LIMIT_NEAR), at(0)
     cut = (F.col("state") == CUT) | ((F.col("state") == MARKED) & near) | ((F.col("state") == OPEN) & (F.col("half") | exact | (near & ~F.coalesce("usual", F.lit(False)))))
-    return j.select("doc_id", "source", "n", F.coalesce(cut, F.lit(False)).alias("cut"), F.coalesce(near, F.lit(False)).alias("at_limit"), "limit")
+    return j.select("doc_id", "source", "n", F.coalesce(cut, F.lit(False)).alias("cut"), F.coalesce(near, F.lit(False)).alias("at_limit"), "limit", "char_limits", "byte_limits")
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,5 +261,5 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By source: non-blank texts, cut ones, their share, and the limit found; NULL is a source of its own."""
-    return judged(spark, sf_dir).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.col("cut").cast("long")).alias("cut"), F.round(F.avg(F.col("cut").cast("double")), 4).alias("share"), F.max("limit").alias("limit"))
+    """By source: non-blank texts, cut ones, their share, the limit with the most open ends, and all limits in characters and in bytes; NULL is a source of its own."""
+    return judged(spark, sf_dir).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.col("cut").cast("long")).alias("cut"), F.round(F.avg(F.col("cut").cast("double")), 4).alias("share"), F.max("limit").alias("limit"), F.max("char_limits").alias("char_limits"), F.max("byte_limits").alias("byte_limits"))

@@ -27,3 +27,25 @@ def test_chance_meetings_stay_rare_in_a_large_source(spark):
 def test_footers_of_a_source_stay_whole(spark):
     docs = [(i, "s", 300 + 40 * i, 300 + 40 * i, cutoff.OPEN, "x\n", 7, i) for i in range(30)]
     assert not any(r.cut for r in _judged(spark, docs).values())
+
+
+def _noise(n, first=10_000):
+    """Whole texts of the source, and open ends at lengths of their own."""
+    return [(first + i, "s", 200 + 7 * i, 200 + 7 * i, cutoff.WHOLE, "", first + i, first + i) for i in range(n)]
+
+
+def test_limits_in_bytes(spark):
+    docs = [(i, "s", 900 + 30 * i, 2048 - i % 2, cutoff.OPEN, "", i, i) for i in range(8)] + _noise(300)
+    got = _judged(spark, docs)
+    assert all(got[i].cut and got[i].at_limit for i in range(8)) and not any(got[d[0]].cut for d in docs[8:])
+
+
+def test_second_limit_and_small_share(spark):
+    docs = [(i, "s", 600 if i < 12 else 1500, 4000 + 200 * i, cutoff.OPEN, "", i, i) for i in range(20)] + _noise(2000)
+    got = _judged(spark, docs)
+    assert all(got[i].cut for i in range(20)) and got[0].char_limits == [600, 1500]
+
+
+def test_copies_are_no_limit(spark):
+    docs = [(i, "s", 600, 600, cutoff.OPEN, "", 5, 5) for i in range(20)] + _noise(50)
+    assert not any(r.cut for r in _judged(spark, docs).values())
