@@ -181,17 +181,12 @@ def p7_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """seq of the pages whose body is a list, a table or junk, and of all spam pages.
 
-    Pages of one chunk are judged with their blocks labelled in context; longer
-    ones by the merged counts of their chunks.  Dead, blank and NULL texts are
-    no cases; wrongly decoded text is restored first.
+    Pages of any length are judged by the body that the shared page pass finds,
+    by the same rule as in p5_found.  Dead, blank and NULL texts are no cases;
+    wrongly decoded text is restored first.
     """
     j = pages.judged(spark, sf_dir, frozenset({"counts"}))
     c = F.col("counts")
     shaped = sum((c[k] for k in range(2, 7)), c[1])
     plain = j.where(~F.col("dead") & F.col("counts").isNotNull()).where((shaped >= LEAST_BODY) & (c[1] < 0.5 * shaped)).select("seq")
-    words = pages.words_of(spark, sf_dir)
-    df = read_table(spark, sf_dir, "extracted_text").select(F.col("seq").alias("id"), "text").where(F.length("text") > pages.LONG)
-    k = {n: F.col("counts")[i] for i, n in enumerate(COUNTS)}
-    total = k["prose"] + k["item"] + k["row"] + k["junk"] + k["link"] + k["short"]
-    long = text_counts(df, words).where(k["prose"] < 0.5 * total).select(F.col("id").alias("seq")).join(j.where("not dead").select("seq"), "seq", "left_semi")
-    return plain.unionByName(long).unionByName(j.where("spam").select("seq")).distinct()
+    return plain.unionByName(j.where("spam").select("seq")).distinct()
