@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path for a written table under the shared folder; it is deleted when the application ends."""
+    path = f"{checkpoint_dir(spark)}/corpusloom-{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Like durable, for wide rows: written as a table of columns, so that later steps read only those they need."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Gives a table of few files at least one partition per core before costly work; larger inputs stay as they lie."""
     want = df.sparkSession.sparkContext.defaultParallelism
