@@ -20,10 +20,12 @@ from . import dead, mojibake, spam
 
 #: documented bound of the sample of weakly labelled rows that the trees are fitted on: of spam, of prose, and of other text that is no spam
 SAMPLE = 3000
-#: weight of a host's rate of spam against a page's own prediction, and pages a host needs for half of it
-HOST_WEIGHT, HOST_PRIOR = 0.15, 8.0
-#: probability from which a page is spam; running text without a telling address needs more
-SPAM_AT, PROSE_SPAM_AT = 0.4, 0.6
+#: how far a host's rate of spam moves the log odds of its pages, and pages of the usual rate that every host is given
+HOST_WEIGHT, HOST_PRIOR = 0.3, 8.0
+#: probability from which a page is spam
+SPAM_AT = 0.6
+#: tasks that the pages of one host are spread over where its rate is joined
+HOST_SALTS = 16
 
 SCHEMA = "seq long, host string, dead boolean, share float, label int, shop boolean, features array<float>, lines array<int>, counts array<int>"
 _ARROW = pa.schema([("seq", pa.int64()), ("host", pa.string()), ("dead", pa.bool_()), ("share", pa.float32()), ("label", pa.int32()), ("shop", pa.bool_()), ("features", pa.list_(pa.float32())), ("lines", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
@@ -99,7 +101,7 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
                     if "spam" in want:
                         feats = spam.features(page, a.common)
                         shop = spam.commercial(url, title)
-                        label = spam.weak_label(feats, shop, sum(page.words))
+                        label = spam.weak_label(feats, shop)
                     if "lines" in want:
                         lines = [i + 1 for i, v in enumerate(page.label) if v == B.FURNITURE]
                     if "counts" in want:
@@ -112,25 +114,36 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
 
 
 def fit_spam(prof: DataFrame) -> spam.BaggedTrees:
-    """Bagged trees fitted on at most SAMPLE weakly labelled pages of each kind, taken by a hash of their ids."""
+    """Bagged trees fitted on at most SAMPLE weakly labelled pages of each kind, taken by a hash of their ids.
+
+    The kinds are counted first; a threshold on the hash leaves a few more rows
+    than are wanted, and only those are ranked.
+    """
     import numpy as np
 
     prose = F.col("features")[spam.NAMES.index("prose")] > 0.7
     kind = F.when(F.col("label") == 1, 2).when(F.col("label") == 0, prose.cast("int"))
-    # ranks up to a limit are cut map side: three kinds, SAMPLE rows of each from every task at most
+    labelled = prof.select("label", "features", "seq", kind.alias("kind"), F.pmod(F.xxhash64("seq"), F.lit(1 << 30)).alias("h")).where("kind is not null")
+    counts = {r[0]: r[1] for r in labelled.groupBy("kind").count().collect()}  # three rows
+    near = F.lit(False)
+    for k, n in counts.items():
+        near = near | (F.col("kind") == k) & (F.col("h") <= int((1 << 30) * min(1.0, 1.2 * (SAMPLE + 100) / n)))
     rank = F.row_number().over(Window.partitionBy("kind").orderBy("h", "seq"))
-    rows = prof.select("label", "features", "seq", kind.alias("kind"), F.xxhash64("seq").alias("h")).where("kind is not null").withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("label", "features").collect()
+    rows = labelled.where(near).withColumn("rank", rank).where(F.col("rank") <= SAMPLE).select("label", "features", "seq").collect()
+    rows.sort(key=lambda r: (r.seq is None, r.seq))
     x = np.array([r.features for r in rows], dtype=float).reshape(len(rows), len(spam.NAMES))
     y = np.array([r.label for r in rows], dtype=float)
     return spam.BaggedTrees().fit(x, y)
 
 
-def with_spam(prof: DataFrame, model: spam.BaggedTrees | None = None) -> DataFrame:
-    """Adds ``p`` (smoothed probability) and ``spam`` to a profile; dead pages are no spam.
+def with_spam(prof: DataFrame, model: spam.BaggedTrees | None = None, earlier: DataFrame | None = None, host_weight: float = HOST_WEIGHT) -> DataFrame:
+    """Adds ``own`` (what the trees say), ``p`` (smoothed by the host) and ``spam`` to a profile; dead pages are no spam.
 
-    The share of spam of a page's host moves the page's own prediction a little;
-    hosts with few pages pull less.  Only (host, sum, count) is aggregated, map
-    side first, so a hot host costs no more than another.
+    The log odds of a page move by ``host_weight`` times how far the rate of its
+    host lies from the usual one; hosts with few pages are near the usual one.
+    Only (host, sum, count) is aggregated, map side first, and the pages of a
+    host are spread over HOST_SALTS tasks where the rate is joined.  ``earlier``
+    has (host, own) of pages judged before, which count for the rates.
     """
     import numpy as np
 
@@ -145,15 +158,19 @@ def with_spam(prof: DataFrame, model: spam.BaggedTrees | None = None) -> DataFra
                 p[known] = model.predict(np.array([v.as_py() for v, k in zip(f, known) if k], dtype=float))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p, pa.float64())], names=[*batch.schema.names[:-1], "own"])
 
-    prof = prof.withColumn("prosy", F.coalesce(F.col("features")[spam.NAMES.index("prose")] > 0.7, F.lit(False)))
     kept = [c for c in prof.columns if c != "features"]
     schema = ", ".join(f"{c} {prof.schema[c].dataType.simpleString()}" for c in kept) + ", own double"
     scored = prof.select(*kept, "features").mapInArrow(predict, schema)
-    hosts = scored.groupBy("host").agg((F.sum("own") / (F.count("*") + HOST_PRIOR)).alias("rate"))
-    lift = F.when(F.col("shop") & (F.col("own") > 0.15), 0.15).otherwise(0.0)
-    p = F.col("own") * (1 - HOST_WEIGHT) + F.col("rate") * HOST_WEIGHT + lift
-    least = F.when(F.col("prosy") & ~F.coalesce("shop", F.lit(False)), PROSE_SPAM_AT).otherwise(SPAM_AT)
-    return scored.join(hosts, "host").withColumn("p", p).withColumn("spam", (~F.col("dead")) & (p >= least))
+    each = scored.where("not dead").select("host", "own")
+    sums = (each if earlier is None else each.unionByName(earlier.select("host", "own"))).groupBy("host").agg(F.sum("own").alias("_s"), F.count("*").alias("_n"))
+    usual = sums.agg(F.coalesce(F.sum("_s") / F.sum("_n"), F.lit(0.0)).alias("usual"))
+    odds = lambda x: F.log(F.greatest(F.least(x, F.lit(0.999)), F.lit(0.001)) / (1 - F.greatest(F.least(x, F.lit(0.999)), F.lit(0.001))))
+    rates = sums.crossJoin(F.broadcast(usual)).select("host", ((F.col("_s") + HOST_PRIOR * F.col("usual")) / (F.col("_n") + HOST_PRIOR)).alias("rate"), "usual")  # one row of the usual rate
+    rates = rates.select("host", (odds(F.col("rate")) - odds(F.col("usual"))).alias("moved"), F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))).alias("_salt"))
+    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("seq"), F.lit(HOST_SALTS)).cast("int"))
+    joined = salted.join(rates, ["host", "_salt"], "left").drop("_salt")
+    p = 1 / (1 + F.exp(-(odds(F.col("own")) + host_weight * F.coalesce("moved", F.lit(0.0)))))
+    return joined.withColumn("p", F.when(F.col("dead"), 0.0).otherwise(p)).drop("moved").withColumn("spam", ~F.col("dead") & (F.col("p") >= SPAM_AT))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_fixed": mojibake.p4_fixed,
     "p4_lossy": mojibake.p4_lossy,
     "p5_found": history.p5_found,
+    "p5_appended": history.p5_appended,
     "p5_table": history.p5_table,
     "p6_found": repeats.p6_found,
     "p6_crossed": repeats.p6_crossed,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 
@@ -108,29 +109,25 @@ def features(page: B.Page, common: frozenset[str]) -> list[float]:
 _F = {n: i for i, n in enumerate(NAMES)}
 
 
-def weak_label(f: list[float], shop: bool, n_words: int) -> int:
-    """1: surely spam, 0: surely not, -1: unknown; from rules that look at one sign each."""
+def weak_label(f: list[float], shop: bool) -> int:
+    """1: surely spam, 0: surely not, -1: unknown; only signs that leave no doubt are used, the rest is left to the trees and the hosts.
+
+    A page that signs of both kinds speak for is unknown.
+    """
     g = lambda k: f[_F[k]]
-    if g("tags") > 0.5 or (g("goods") > 0.5 and g("prose") < 0.4) or (g("urls") > 0.6 and g("prose") < 0.3) or (g("commerce") > 0.14 and g("distinct") < 0.5):
-        return 1
-    if shop and g("prose") < 0.35 and g("numbered") < 0.5:
-        return 1
-    if g("arrows") > 0.25 and g("prose") < 0.3 and g("numbered") < 0.3 and n_words > 20:
-        return 1
-    if g("vowels") < 0.2 or (g("long_words") > 30 and g("urls") < 0.2 and g("tags") < 0.2):
-        return 0  # no words at all
-    ordered = g("cells") > 0.2 or g("numbered") > 0.3
-    if not ordered and n_words > 40 and (g("top_pair") > 0.16 and g("common") < 0.2 or g("top_pair") > 0.22 and g("distinct") < 0.35):
-        return 1
-    if not ordered and n_words > 40 and g("prose") < 0.2 and g("distinct") < 0.4 and g("top_pair") > 0.12:
-        return 1
-    if shop:
-        return -1
-    if g("prose") > 0.7 and g("commerce") < 0.04 and (g("top_pair") < 0.1 or g("common") > 0.3 and g("distinct") > 0.35 or n_words < 40 and g("top_pair") < 0.2):
-        return 0
-    if g("numbered") > 0.6 or g("cells") > 0.6 or g("list_pairs") > 3:
-        return 0
-    return -1
+    ordered = g("cells") > 0.1 or g("numbered") > 0.1
+    spam = (
+        g("tags") > 0.6  # tags and little else
+        or g("goods") > 0.6 and g("prose") < 0.2  # goods line by line
+        or g("urls") > 0.8 and g("prose") < 0.1  # addresses line by line
+        or g("commerce") > 0.2 and g("distinct") < 0.45  # a fifth of the words sell something
+        or g("arrows") > 0.5 and g("prose") < 0.1 and not ordered and g("digits") < 0.05  # teasers of other pages
+        or g("top_pair") > 0.22 and g("distinct") < 0.25 and not ordered and g("vowels") > 0.25 and g("line_words") > 12  # the same few words over and over
+        or shop and g("prose") < 0.05 and not ordered and g("vowels") > 0.25  # an address that baits searches, and no sentence
+    )
+    fair = g("prose") > 0.85 and g("commerce") < 0.03 and g("top_pair") < 0.06  # sentences in words of their own
+    fair = fair or not shop and (g("numbered") > 0.7 or g("cells") > 0.7 or g("vowels") < 0.2 or g("list_pairs") > 3)  # an ordered list, a table, or no words
+    return -1 if spam == fair else int(spam)
 
 
 class BaggedTrees:
@@ -185,6 +182,17 @@ class BaggedTrees:
         nodes[at] = (best[1], best[2], a, b, p)
         return at
 
+    def dumps(self) -> str:
+        """The fitted trees as text."""
+        return json.dumps({"depth": self.depth, "forest": self.forest})
+
+    @classmethod
+    def loads(cls, text: str) -> "BaggedTrees":
+        got = json.loads(text)
+        out = cls(depth=got["depth"])
+        out.forest = got["forest"]
+        return out
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
         for nodes in self.forest:

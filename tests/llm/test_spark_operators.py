@@ -25,7 +25,8 @@ def test_sql(spark, small, name):
 def test_runs_and_is_unique(spark, small, name):
     rows = [tuple(r) for r in QUERIES[name](spark, small).collect()]
     if name.endswith("_found"):
-        assert rows and len(rows) == len(set(rows)) or name in ("p4_found", "p6_found", "p9_found", "p5_found")
+        assert rows
+        assert len(rows) == len(set(rows))
 
 
 def test_long_texts_are_cut_and_counted_alike(spark):
@@ -69,8 +70,8 @@ def test_history_against_brute_force(spark):
     bodies = _bodies()
     rows = []
     for seq, w in enumerate(bodies, 1):
-        h, h2, n, ids, keys, piv = row(" ".join(w))
-        rows.append((seq, 0 if seq < 60 else 1, h, h2, n, ids, keys, piv))
+        h, h2, n, ids, keys, coarse, piv = row(" ".join(w))
+        rows.append((seq, 0 if seq < 60 else 1, h, h2, n, ids, keys, coarse, piv))
     df = spark.createDataFrame(rows, history._COLS)
     got = {r.seq_b: r.seq_a for r in history.repeats(df).collect()}
 
@@ -82,23 +83,26 @@ def test_history_against_brute_force(spark):
         a = next((a for a in range(1, b) if near(bodies[a - 1], bodies[b - 1])), None)
         if a:
             want[b] = a
-    # keys are runs of words: copies with many edits spread evenly may have none in common
+    # keys are a sample of the runs of words
     missing = {b: a for b, a in want.items() if got.get(b) != a}
     assert not set(got) - set(want)
-    assert len(missing) <= 0.1 * len(want), missing
+    assert len(missing) <= 0.02 * len(want), missing
 
 
 def test_hot_keys_are_searched_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(history, "FIRST", 2)
     monkeypatch.setattr(history, "GROWTH", 2)
     monkeypatch.setattr(history, "CHUNK", 7)
+    monkeypatch.setattr(history, "SALT", 3)
+    monkeypatch.setattr(history, "COMMON", 1)
+    monkeypatch.setattr(history, "LEAST_KEYS", history.KEYS)
     base = [f"s{i}" for i in range(80)]
     rows = []
     for seq in range(1, 40):
         # one run that all share, and bodies that are else different; the last repeats the thirtieth
         own = [f"x{seq}_{i}" for i in range(60)] if seq < 39 else [f"x30_{i}" for i in range(60)]
-        h, h2, n, ids, keys, piv = row(" ".join(base[:20] + own + ([] if seq < 39 else ["end"])))
-        rows.append((seq, 1, h, h2, n, ids, keys, piv))
+        h, h2, n, ids, keys, coarse, piv = row(" ".join(base[:20] + own + ([] if seq < 39 else ["end"])))
+        rows.append((seq, 1, h, h2, n, ids, keys, coarse, piv))
     got = {r.seq_b: r.seq_a for r in history.repeats(spark.createDataFrame(rows, history._COLS)).collect()}
     assert got == {39: 30}
 
