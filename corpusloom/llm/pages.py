@@ -162,7 +162,7 @@ def with_spam(prof: DataFrame, model: spam.BaggedTrees | None = None, earlier: D
     schema = ", ".join(f"{c} {prof.schema[c].dataType.simpleString()}" for c in kept) + ", own double"
     scored = prof.select(*kept, "features").mapInArrow(predict, schema)
     each = scored.where("not dead").select("host", "own")
-    sums = (each if earlier is None else each.unionByName(earlier.select("host", "own"))).groupBy("host").agg(F.sum("own").alias("_s"), F.count("*").alias("_n"))
+    sums = durable((each if earlier is None else each.unionByName(earlier.select("host", "own"))).groupBy("host").agg(F.sum("own").alias("_s"), F.count("*").alias("_n")))
     usual = sums.agg(F.coalesce(F.sum("_s") / F.sum("_n"), F.lit(0.0)).alias("usual"))
     odds = lambda x: F.log(F.greatest(F.least(x, F.lit(0.999)), F.lit(0.001)) / (1 - F.greatest(F.least(x, F.lit(0.999)), F.lit(0.001))))
     rates = sums.crossJoin(F.broadcast(usual)).select("host", ((F.col("_s") + HOST_PRIOR * F.col("usual")) / (F.col("_n") + HOST_PRIOR)).alias("rate"), "usual")  # one row of the usual rate
