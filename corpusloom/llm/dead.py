@@ -78,38 +78,43 @@ def left_over(x: str) -> tuple[int, int]:
     return covered, sum(map(len, _LEFT.findall(y)))
 
 
+#: lines of numbers and addresses alone that a notice may have besides its text
+NEUTRAL = 3
+
+
 def is_dead(page: B.Page, title: str) -> tuple[bool, float]:
     """(whether a page with a non-blank text has nothing else to offer, share of its body that phrases cover).
 
     The page's own title and the furniture around it don't count as an offer.
+    All lines count, in whatever order they stand; reading ends early only when
+    no line still to come could change the verdict.
     """
-    covered = left = size = neutral = 0
-    some = False
+    covered = left = size = 0
+    neutral: list[tuple[int, int]] = []
     find = automaton().iter
+    ahead = sum(map(len, page.folded))
     for i, x in enumerate(page.folded):
+        ahead -= len(x)
         lab = page.label[i]
         if lab == B.BLANK or (page.kind[i] == B.FIXED):
             continue
-        if left > 400 and left > 3 * covered:
-            return False, covered / max(size, 1)  # already more than any notice leaves
         if page.kind[i] == B.PROSE and page.words[i] >= 8 and page.stops[i] >= 0.2 * page.words[i] and "{" not in x and next(find(x), None) is None:
             size, left = size + len(x), left + len(x)  # plain sentences without any of the phrases
-            continue
-        c, rest = left_over(x)
-        if not c and title and (x == title or x.endswith(title)) and not some:
-            continue
-        if not c and lab == B.FURNITURE:
-            continue
-        if not c and neutral < 3 and len(x) < 90 and _CODE.sub("", x).strip(" .#:") == "":
-            neutral += 1  # an address or a number
-            continue
-        size += len(x)
-        some = some or c > 0
-        covered += len(x) if c and rest <= 0.6 * c + 3 else min(c, len(x))
-        left += 0 if c and rest <= 0.6 * c + 3 else rest
-    if not covered:
-        return False, 0.0
-    if covered <= 8 and left:
+        else:
+            c, rest = left_over(x)
+            if not c and (lab == B.FURNITURE or title and (x == title or x.endswith(title))):
+                continue
+            if not c and len(x) < 90 and _CODE.sub("", x).strip(" .#:") == "":
+                neutral.append((len(x), rest))  # an address or a number
+                continue
+            size += len(x)
+            covered += len(x) if c and rest <= 0.6 * c + 3 else min(c, len(x))
+            left += 0 if c and rest <= 0.6 * c + 3 else rest
+        if left > max(28, 0.25 * (covered + ahead)):
+            return False, covered / size
+    for n, rest in sorted(neutral, reverse=True)[NEUTRAL:]:
+        size, left = size + n, left + rest
+    if not covered or covered <= 8 and left:
         return False, 0.0
-    share = covered / max(size, 1)
+    share = covered / size
     return share >= 0.6 and left <= max(28, 0.25 * covered), share
