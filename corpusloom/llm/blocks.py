@@ -1,10 +1,12 @@
 """Line ("block") analysis of a crawled page, shared by the page operators.
 
-Pass one decides the blocks that speak for themselves: page furniture by its
-wording, by menu vocabulary or by separators between short pieces; body by
-stop-word density, length and sentence ends, or as a row of a list or table.
-Pass two lets the short blocks that stay ambiguous inherit the label of the
-nearest decided neighbours.
+Every block has a length in words, a stop-word density and a link density (the
+share of it that entries of menus take up).  Pass one decides the blocks that
+speak for themselves: page furniture by link density; body by length and
+stop-word density, or as a row of a table.  Where these leave a short block
+ambiguous, a known wording of furniture breaks the tie.  Pass two lets what is
+still ambiguous inherit: between a page's edge and its body from furniture
+around it, elsewhere from the nearest decided neighbours.
 
 Plain Python on one page at a time, called from Arrow batches; nothing here
 touches Spark.
@@ -65,10 +67,12 @@ WORDINGS = (
     r"advertisement", r"story continues below", r"weather in .{1,40}", r"-?\d+ degrees, .{1,40}", r"upcoming: .{1,100}", r"you have \d+ unread messages?", r"mo tu we th fr sa su", r"mon-fri \d.{1,20}", r"saturday by appointment",
 )
 
-#: titles under the heading of a list of other pages
-MOST_RELATED = 5
-#: no wording covers a longer block
-LONGEST_WORDING = 320
+#: words from which a block of running text is body whatever it says, and its least stop-word density
+DENSE_WORDS, DENSE_STOPS = 40, 0.12
+#: link density from which a block is furniture
+LINKED = 0.6
+#: sentences in a row that may stand between pieces of furniture at the end of a page
+EDGE_SENTENCES = 1
 _MENU = frozenset(x for words in MENU.values() for x in words.split("|"))
 _MENU_FIRST = frozenset(x.split(" ")[0] for x in _MENU)
 _RELATED = frozenset(RELATED.split("|"))
@@ -126,24 +130,21 @@ def pieces(line: str) -> list[str]:
     return [p for p in _SPLIT.split(line.strip().lower()) if p]
 
 
-def is_menu(line: str, x: str) -> bool:
-    """An entry of a menu, or a row of them between separators or in plain words."""
+def link_density(line: str, x: str) -> float:
+    """The share of a block that entries of menus take up: as pieces between separators, or as words in a row; 1 for a breadcrumb."""
     if x in _MENU:
-        return True
-    if len(x) > 240:
-        return False
+        return 1.0
+    best = 0.0
     for form in (x, line.strip()) if _MANY.search(line.strip()) else ():
         parts = [_SPACES.sub(" ", p) for p in pieces(form)]
-        known = sum(p in _MENU for p in parts)
-        if known and known >= 0.6 * len(parts):
-            return True
         if len(parts) >= 2 and parts[0] in _HEAD and _CRUMB.search(line):
-            return True  # a breadcrumb
-    if x[-1] not in ".!?" and 1 < x.count(" ") < 30:
+            return 1.0
+        best = max(best, sum(p in _MENU for p in parts) / max(len(parts), 1))
+    if best < LINKED and x[-1] not in ".!?" and x.count(" ") > 1:
         # entries of a menu without separators: cover the words greedily
         words, i, covered = x.split(" "), 0, 0
         if words[0] not in _MENU_FIRST and words[1] not in _MENU_FIRST:
-            return False
+            return best
         while i < len(words):
             for k in (3, 2, 1):
                 if " ".join(words[i : i + k]) in _MENU and i + k <= len(words):
@@ -152,8 +153,13 @@ def is_menu(line: str, x: str) -> bool:
                     break
             else:
                 i += 1
-        return covered >= 0.8 * len(words)
-    return False
+        if covered >= 0.8 * len(words):
+            best = max(best, covered / len(words))
+    return best
+
+
+def is_menu(line: str, x: str) -> bool:
+    return link_density(line, x) >= LINKED
 
 
 #: first piece of a breadcrumb
@@ -162,24 +168,25 @@ _CRUMB = re.compile("\\s[»›>/]\\s")
 
 
 def furniture(line: str, x: str) -> int:
-    """0: not furniture by wording; 1: furniture; 2: a heading above a list of other pages."""
-    if len(x) > LONGEST_WORDING:
-        return 0
+    """0: not known as furniture; 1: by link density; 2: a heading above a list of other pages; 3: by wording."""
     if x in _RELATED or x.rstrip(":") in _RELATED:
         return 2
+    if link_density(line, x) >= LINKED:
+        return 1
     p = _HEADS.get(x[:1])
     if p is not None and p.match(x):
-        return 1
+        return 3
     if "�" in x:
         # letters were lost: compare without telling letters beyond ASCII apart
         y = _BEYOND.sub("�", x)
         if y in _LOSSY_RELATED:
             return 2
-        return 1 if _LOSSY.match(y) or y in _LOSSY_MENU or all(p in _LOSSY_MENU for p in pieces(y)) else 0
-    if any(h in x for h in _REST_HINTS) or x[:1].isdigit() or x[:4] == "home" or x[:5] == "start":
-        if _REST.match(x):
+        if y in _LOSSY_MENU or all(p in _LOSSY_MENU for p in pieces(y)):
             return 1
-    return 1 if is_menu(line, x) else 0
+        return 3 if _LOSSY.match(y) else 0
+    if any(h in x for h in _REST_HINTS) or x[:1].isdigit() or x[:4] == "home" or x[:5] == "start":
+        return 3 if _REST.match(x) else 0
+    return 0
 
 
 def shape(line: str, x: str, common: frozenset[str]) -> tuple[int, int, int, bool]:
@@ -224,6 +231,12 @@ def shape(line: str, x: str, common: frozenset[str]) -> tuple[int, int, int, boo
     return SHORT, n, stop, ends
 
 
+def is_dense(x: str, shaped: tuple[int, int, int, bool]) -> bool:
+    """Whether a block of this shape is body by length and stop-word density; scripts without spaces have no stop words to count."""
+    kind, words, stops, _ = shaped
+    return kind == PROSE and words >= DENSE_WORDS and (stops >= DENSE_STOPS * words or _CJK.search(x) is not None)
+
+
 class Page:
     """The blocks of one text with labels and shapes."""
 
@@ -247,8 +260,10 @@ class Analyzer:
             if not x:
                 got = (x, -1, 0, 0, 0, False)
             else:
-                f = furniture(line, x)
-                got = (x, f, FIXED, 0, 0, False) if f else (x, 0, *shape(line, x, self.common))
+                shaped = shape(line, x, self.common)
+                # running text of some length is body by its density; shorter blocks may be furniture
+                f = 0 if is_dense(x, shaped) else furniture(line, x)
+                got = (x, f, FIXED, 0, 0, False) if f else (x, 0, *shaped)
             if len(line) < 100:
                 if len(self.known) > 60_000:
                     self.known.clear()
@@ -277,23 +292,20 @@ class Analyzer:
                     label[i] = BODY
                 elif title and g[0] == title:
                     label[i] = BODY
-        # lists of other pages: title-like blocks right under their heading
+        # lists of other pages: title-like blocks right under their heading, to where they stop being alike
         for i, g in enumerate(got):
             if g[1] == 2:
                 run = []
                 for j in range(i + 1, n):
                     if label[j] == BLANK:
                         continue
-                    if label[j] != AMBIGUOUS or len(run) >= MOST_RELATED or run and got[j][2] != got[run[0]][2]:
+                    if label[j] != AMBIGUOUS or run and got[j][2] != got[run[0]][2]:
                         break
                     run.append(j)
-                # the last one may be the headline of the page itself
-                if run and len(run) > 1 and not title and not any(label[k] == BODY for k in range(i)):
-                    nxt = next((k for k in range(run[-1] + 1, n) if label[k] != BLANK), None)
-                    if nxt is not None and label[nxt] == BODY and len(run) > 3:
-                        run.pop()
-                for j in run:
+                for j in _titles(run, got, label, title):
                     label[j] = FURNITURE
+        _edge(got, label, range(n - 1, -1, -1))
+        _edge(got, label, range(n))
         # rows of a list: several ambiguous blocks in a row are the list of the page
         i = 0
         while i < n:
@@ -338,5 +350,51 @@ class Analyzer:
         return out
 
 
+def _titles(run: list[int], got: list[tuple], label: list[int], title: str) -> list[int]:
+    """The blocks of a run under the heading of a list of other pages that are its titles."""
+    # the last one may be the headline of the page itself
+    if len(run) > 3 and not title and BODY not in label[: run[0]]:
+        after = next((k for k in range(run[-1] + 1, len(got)) if label[k] != BLANK), None)
+        if after is not None and label[after] == BODY:
+            return run[:-1]
+    return run
+
+
+def _edge(got: list[tuple], label: list[int], way: range) -> None:
+    """Labels what stands among furniture at one edge of a page, from the edge inwards as far as furniture reaches.
+
+    ``way`` goes from the edge inwards.  Short pieces without a sentence end
+    carry furniture on at the end of a page of running text; up to
+    EDGE_SENTENCES short sentences in a row may stand between its pieces.
+    """
+    footer = way.step < 0
+    if not any(lab == BODY and g[2] == PROSE for g, lab in zip(got, label)):
+        return  # a list or a table has no running text that its edges could stand apart from
+    pending: list[int] = []
+    sentences, after = 0, None
+    for i in way:
+        if label[i] == BLANK:
+            continue
+        _, _, kind, words, stops, ends = got[i]
+        if label[i] == FURNITURE:
+            for k in pending:
+                label[k] = FURNITURE
+            pending, sentences = [], 0
+        elif kind == SHORT and not ends and words <= 11 and label[i] == AMBIGUOUS:
+            if footer and after != PROSE and after != ITEM:
+                for k in pending:
+                    label[k] = FURNITURE
+                pending, sentences = [], 0
+                label[i] = FURNITURE
+            else:
+                pending.append(i)
+        elif footer and kind == PROSE and words < DENSE_WORDS and sentences < EDGE_SENTENCES:
+            sentences += 1
+            pending.append(i)
+        else:
+            return
+        after = kind if label[i] != FURNITURE else None
+
+
 def fold_words(s: str) -> str:
     return unicodedata.normalize("NFKC", s).lower()

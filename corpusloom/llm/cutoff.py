@@ -95,7 +95,7 @@ def ending(a: B.Analyzer, text: str) -> tuple[int, str, str]:
         return WHOLE, word, x
     if mark:
         return (MARKED if ends or not x else CUT), word, x
-    if furn == 1 and not ends and (x in B._MENU or B.is_menu(line, x) or _CHOICE.search(x)):
+    if furn in (1, 3) and not ends and (x in B._MENU or B.is_menu(line, x) or _CHOICE.search(x)):
         return WHOLE, word, x
     if _ENTITY.search(line) or (kind == B.LINK and _PERCENT.search(line)):
         return CUT, word, x
