@@ -240,7 +240,7 @@ def is_dense(x: str, shaped: tuple[int, int, int, bool]) -> bool:
 class Page:
     """The blocks of one text with labels and shapes."""
 
-    __slots__ = ("lines", "folded", "label", "kind", "words", "stops", "ends")
+    __slots__ = ("lines", "got", "folded", "label", "kind", "words", "stops", "ends")
 
     def body(self) -> list[int]:
         return [i for i, v in enumerate(self.label) if v == BODY]
@@ -273,7 +273,7 @@ class Analyzer:
     def page(self, text: str, title: str | None) -> Page:
         p = Page()
         p.lines = text.split("\n")
-        got = [self.line(x) for x in p.lines]
+        got = p.got = [self.line(x) for x in p.lines]
         p.folded = [g[0] for g in got]
         p.kind = [g[2] for g in got]
         p.words = [g[3] for g in got]
@@ -368,13 +368,17 @@ def _edge(got: list[tuple], label: list[int], way: range) -> None:
     EDGE_SENTENCES short sentences in a row may stand between its pieces.
     """
     footer = way.step < 0
-    if not any(lab == BODY and g[2] == PROSE for g, lab in zip(got, label)):
+    text = [i for i, g in enumerate(got) if label[i] == BODY and g[2] == PROSE]
+    if not text:
         return  # a list or a table has no running text that its edges could stand apart from
+    last = text[0] if footer else text[-1]  # all of the running text can't be an edge
     pending: list[int] = []
     sentences, after = 0, None
     for i in way:
         if label[i] == BLANK:
             continue
+        if i == last:
+            return
         _, _, kind, words, stops, ends = got[i]
         if label[i] == FURNITURE:
             for k in pending:
