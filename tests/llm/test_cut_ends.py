@@ -5,7 +5,7 @@ from corpusloom.llm import cutoff
 
 def _judged(spark, docs, words=()):
     """docs: (doc_id, source, n, bytes, state, word, line, same_text)."""
-    rows = [(0, *d, None) for d in docs] + [(1, None, None, None, None, None, w, None, None, c) for w, c in words]
+    rows = [(0, *d, False, None) for d in docs] + [(1, None, None, None, None, None, w, None, None, None, c) for w, c in words]
     return {r.doc_id: r for r in cutoff.judge(spark.createDataFrame(rows, cutoff._SCHEMA)).collect()}
 
 
@@ -49,3 +49,31 @@ def test_second_limit_and_small_share(spark):
 def test_copies_are_no_limit(spark):
     docs = [(i, "s", 600, 600, cutoff.OPEN, "", 5, 5) for i in range(20)] + _noise(50)
     assert not any(r.cut for r in _judged(spark, docs).values())
+
+
+def test_what_earlier_lines_leave_open():
+    import re as _re
+
+    from corpusloom.llm import cutoff
+
+    assert cutoff.unclosed("He said (see\nthe list.\nIt was so.") == ["("]
+    assert cutoff.unclosed("<div>\n<ul class='x'>\nText.\n</ul>") == ["<div>"]
+    assert cutoff.unclosed("```\ncode()\nmore.") == ["```"]
+    assert cutoff.unclosed("„So ist es“, sagte sie. «Oui.» a) b) Home » Shop <br> <BODY TEXT goes here>") == []
+    assert cutoff.unclosed("(a [b) c] \"d\"") == []
+    assert not _re.search("contributors|reproduced", open(cutoff.__file__).read())
+
+
+def test_the_stack_decides_unless_the_source_is_sloppy(spark):
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm import cutoff
+
+    story = "The old boat was in the harbour, and the keeper of the light was on the pier with his dog."
+    neat = [(i, "neat.example", f"{story} Number {i}.") for i in range(30)] + [(30, "neat.example", f"He said (see\nthe list.\n{story}")]
+    sloppy = [(100 + i, "sloppy.example", f"{story} (Number {i}.") for i in range(30)]
+    df = spark.createDataFrame(neat + sloppy, "doc_id long, source string, text string")
+    rows = cutoff.endings(df, ["the", "was", "in", "of", "and", "on", "with", "his"])
+    got = {r.doc_id for r in cutoff.judge(rows).where("cut").collect()}
+    off = {r.doc_id for r in cutoff.judge(rows.withColumn("left", F.lit(False))).where("cut").collect()}
+    assert got == {30} and off == set()
