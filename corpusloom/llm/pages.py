@@ -27,8 +27,8 @@ SPAM_AT = 0.6
 #: tasks that the pages of one host are spread over where its rate is joined
 HOST_SALTS = 16
 
-SCHEMA = "seq long, host string, dead boolean, share float, label int, shop boolean, features array<float>, lines array<int>"
-_ARROW = pa.schema([("seq", pa.int64()), ("host", pa.string()), ("dead", pa.bool_()), ("share", pa.float32()), ("label", pa.int32()), ("shop", pa.bool_()), ("features", pa.list_(pa.float32())), ("lines", pa.list_(pa.int32()))])
+SCHEMA = "seq long, host string, dead boolean, share float, label int, shop boolean, features array<float>, lines array<int>, counts array<int>"
+_ARROW = pa.schema([("seq", pa.int64()), ("host", pa.string()), ("dead", pa.bool_()), ("share", pa.float32()), ("label", pa.int32()), ("shop", pa.bool_()), ("features", pa.list_(pa.float32())), ("lines", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
 
 
 def host_of(url: str | None) -> str:
@@ -71,8 +71,10 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
     """(seq, url, title, text) to one compact row per page with a non-blank text.
 
     Blank and NULL texts give no row; NULL titles and urls count as empty.
-    ``want`` leaves out columns (as NULL) that a query doesn't need.
+    ``want`` leaves out columns (as NULL) that a query doesn't need; ``counts``
+    are those of quality.page_counts for texts of one chunk.
     """
+    from . import quality
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = analyzer(words)
@@ -86,7 +88,7 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
                 url, title = urls[k].as_py(), titles[k].as_py()
                 page, t = read_page(a, text, title)
                 gone, share = dead.is_dead(page, t)
-                label = shop = feats = lines = None
+                label = shop = feats = lines = counts = None
                 if not gone:
                     if "spam" in want:
                         feats = spam.features(page, a.common)
@@ -94,7 +96,9 @@ def profile(df: DataFrame, words: list[str], want: frozenset[str] = frozenset({"
                         label = spam.weak_label(feats, shop)
                     if "lines" in want:
                         lines = [i + 1 for i, v in enumerate(page.label) if v == B.FURNITURE]
-                for col, v in zip(out, (seqs[k].as_py(), host_of(url), gone, share, label, shop, feats, lines)):
+                    if "counts" in want and len(text) <= quality.CHUNK:
+                        counts = quality.page_counts(page)
+                for col, v in zip(out, (seqs[k].as_py(), host_of(url), gone, share, label, shop, feats, lines, counts)):
                     col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _ARROW)], schema=_ARROW)
 

@@ -304,8 +304,10 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     restored first.  Dead, blank and NULL texts are no cases.
     """
     words = pages.words_of(spark, sf_dir)
-    df = read_table(spark, sf_dir, "extracted_text").select(F.col("seq").alias("id"), "text")
-    stats = ratios(text_counts(spread(df), words, restore=True)).where("not_prose").select(F.col("id").alias("seq"))
-    prof = durable(pages.profile(pages.pages(spark, sf_dir), words, frozenset({"dead", "spam"})))
-    listed = stats.join(prof.where("dead").select("seq"), "seq", "left_anti")
-    return listed.unionByName(pages.with_spam(prof).where("spam").select("seq")).distinct()
+    prof = durable(pages.profile(pages.pages(spark, sf_dir), words, frozenset({"dead", "spam", "counts"})))
+    # texts of one chunk were counted while they were at hand, longer ones are cut and merged
+    one = prof.where("counts is not null").select("seq", F.concat(F.array_repeat(F.lit(0), _BODY), "counts").alias("counts"))
+    long = read_table(spark, sf_dir, "extracted_text").where(F.length("text") > CHUNK).select(F.col("seq").alias("id"), "text")
+    merged = text_counts(long, words, restore=True).withColumnRenamed("id", "seq").join(prof.where("not dead").select("seq"), "seq", "left_semi")
+    stats = ratios(one.unionByName(merged), "seq").where("not_prose").select("seq")
+    return stats.unionByName(pages.with_spam(prof).where("spam").select("seq")).distinct()
