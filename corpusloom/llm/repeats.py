@@ -5,7 +5,12 @@ and by host (line key 0) the number of rows with a non-blank text.  New
 partitions are counted alone and merged in; a line crosses the threshold when
 the merged table makes it excessive, and only documents that hold a crossed
 line are looked at again.  Hosts and lines are 64-bit keys, so a table row is
-small and the texts are never shuffled.
+small and the texts are never shuffled; they are read once, into the keys of
+their lines.
+
+A state folder holds the count tables of the partitions counted so far
+(``advance``); a partition of a known name is written over, so a failed call
+can be repeated.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import durable, read_table, spread
+from ..session import durable, folder, read_table, spread, stored
 
 LEAST_ROWS, LEAST_PERCENT = 4, 15
 _DROPPED = " \t\r 0123456789"
@@ -26,24 +31,31 @@ def host_column(url: Column) -> Column:
 
 
 def line_keys(df: DataFrame) -> DataFrame:
-    """(seq, host, keys): the key of each line of each non-blank text by position; NULL for lines that don't count.
+    """(seq, batch_id, host, keys): the key of each line of each non-blank text by position; NULL for lines that don't count.
 
-    Rows without a host are left out; blank and NULL texts too.
+    Rows without a host are left out; blank and NULL texts too; no batch is batch 0.
     """
-    keys = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.translate(x, _DROPPED, "") != "", F.xxhash64(F.translate(F.lower(x), _DROPPED, ""))))
-    full = F.col("text").isNotNull() & (F.regexp_replace("text", r"[\s 　​﻿]+", "") != "")
-    return df.where(full).select("seq", F.xxhash64(host_column(F.col("url"))).alias("host"), host_column(F.col("url")).alias("h"), keys.alias("keys")).where("h is not null").drop("h")
+    key = lambda x: F.xxhash64(F.translate(F.lower(x), _DROPPED, ""))
+    keys = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.translate(x, _DROPPED, "") != "", F.when(key(x) == 0, F.lit(1).cast("long")).otherwise(key(x))))
+    full = F.col("text").isNotNull() & (F.regexp_replace("text", r"[\s 　​﻿]+", "") != "")
+    batch = F.coalesce("batch_id", F.lit(0)) if "batch_id" in df.columns else F.lit(0)
+    host = host_column(F.col("url"))
+    return df.where(full).select("seq", batch.alias("batch_id"), host.alias("h"), keys.alias("keys")).where("h is not null").select("seq", "batch_id", F.xxhash64("h").alias("host"), "keys")
 
 
-def count_lines(df: DataFrame) -> DataFrame:
-    """The count table of one partition: (host, line, n); line 0 counts the rows of the host.
+def count_keys(keyed: DataFrame, *by: str) -> DataFrame:
+    """The count table of lines read by ``line_keys``: (host, line, n); line 0 counts the rows of the host.
 
     A line counts once per row.  Partial sums are made before the shuffle, so a
     hot host or line sends one row per task.
     """
-    once = F.array_distinct(F.filter("keys", lambda k: k.isNotNull()))
-    each = F.concat(F.array(F.lit(0).cast("long")), F.transform(once, lambda k: F.when(k == 0, F.lit(1).cast("long")).otherwise(k)))
-    return line_keys(df).select("host", F.explode(each).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    each = F.concat(F.array(F.lit(0).cast("long")), F.array_distinct(F.filter("keys", lambda k: k.isNotNull())))
+    return keyed.select(*by, "host", F.explode(each).alias("line")).groupBy(*by, "host", "line").agg(F.count("*").alias("n"))
+
+
+def count_lines(df: DataFrame) -> DataFrame:
+    """The count table of one partition of texts."""
+    return count_keys(line_keys(df))
 
 
 def merge_counts(state: DataFrame, delta: DataFrame) -> DataFrame:
@@ -63,11 +75,31 @@ def crossed(before: DataFrame, after: DataFrame) -> DataFrame:
     return excessive(after).join(excessive(before), ["host", "line"], "left_anti")
 
 
+def advance(spark: SparkSession, path: str, name: str, delta: DataFrame) -> DataFrame:
+    """Adds a partition's count table to the state folder and gives the (host, line) that cross the threshold with it.
+
+    A line that the partition doesn't hold can't cross: its host only gets more
+    rows.  So of the state only the lines of the partition and the totals of
+    its hosts are summed.
+    """
+    delta.write.mode("overwrite").parquet(f"{path}/name={name}")
+    new = spark.read.parquet(f"{path}/name={name}")
+    state = spark.read.parquet(path).join(new.select("host", "line"), ["host", "line"], "left_semi")
+    mine = F.when(F.col("name") == name, F.col("n")).otherwise(0)
+    sums = state.groupBy("host", "line").agg(F.sum("n").alias("after"), F.sum(F.col("n") - mine).alias("before"))
+    at = lambda n: excessive(sums.select("host", "line", F.col(n).alias("n")))
+    return at("after").join(at("before"), ["host", "line"], "left_anti")
+
+
+def occurrences_of(keyed: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of the lines, with (seq, line_no) of each of their occurrences; line numbers count from 1."""
+    each = keyed.select("seq", "batch_id", "host", F.posexplode("keys").alias("pos", "line")).where("line is not null")
+    return each.join(lines, ["host", "line"]).withColumn("line_no", F.col("pos") + 1)
+
+
 def occurrences(df: DataFrame, lines: DataFrame) -> DataFrame:
-    """(seq, line_no) of each occurrence of the given (host, line) pairs; line numbers count from 1."""
-    each = line_keys(df).select("seq", "host", F.posexplode("keys").alias("pos", "line")).where("line is not null")
-    each = each.withColumn("line", F.when(F.col("line") == 0, F.lit(1).cast("long")).otherwise(F.col("line")))
-    return each.join(lines, ["host", "line"]).select("seq", (F.col("pos") + 1).alias("line_no"))
+    """(seq, line_no) of each occurrence of the given (host, line) pairs in texts."""
+    return occurrences_of(line_keys(df), lines).select("seq", "line_no")
 
 
 def strip_lines(df: DataFrame, found: DataFrame) -> DataFrame:
@@ -81,24 +113,41 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "extracted_text").select("seq", "batch_id", "url", "text")
 
 
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line keys of all texts, written once."""
+    return stored(line_keys(spread(_texts(spark, sf_dir))), "lines")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seq, line_no) of every occurrence of a line that is excessive on its host.
 
     Batch 0 makes the state, the later batches are merged in as one delta.  Rows
     without a host, blank and NULL texts give no rows.
     """
-    df = spread(_texts(spark, sf_dir))
-    counts = merge_counts(count_lines(df.where("batch_id = 0 or batch_id is null")), count_lines(df.where("batch_id > 0")))
-    return occurrences(df, excessive(counts)).distinct()
+    keyed, path = _keyed(spark, sf_dir), folder(spark, "counts")
+    count_keys(keyed.where("batch_id = 0")).write.parquet(f"{path}/name=history")
+    count_keys(keyed.where("batch_id > 0")).write.parquet(f"{path}/name=later")
+    state = spark.read.parquet(path)
+    return occurrences_of(keyed, excessive(durable(merge_counts(state.where("name = 'history'").drop("name"), state.where("name = 'later'").drop("name"))))).select("seq", "line_no").distinct()
 
 
 def p6_crossed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(seq, line_no) of the occurrences, in all rows, of lines that became excessive with the last batch."""
-    df = spread(_texts(spark, sf_dir))
-    last = df.agg(F.max("batch_id")).first()[0] or 0
-    before = durable(count_lines(df.where(F.coalesce("batch_id", F.lit(0)) < last)))
-    after = merge_counts(before, count_lines(df.where(F.col("batch_id") == last)))
-    return occurrences(df, crossed(before, after)).distinct()
+    """(batch_id, seq, line_no): the lines that become excessive with each batch from 1 on, wherever they stand in the rows so far.
+
+    The batches join a stored state one after the other; the rows of a text are
+    looked at again only for lines that crossed.
+    """
+    keyed, path = _keyed(spark, sf_dir), folder(spark, "counts")
+    batches = [r[0] for r in keyed.select("batch_id").distinct().orderBy("batch_id").collect()]  # the batches of one table
+    crossed_at: DataFrame | None = None
+    for b in batches:
+        new = advance(spark, path, str(b), count_keys(keyed.where(F.col("batch_id") == b)))
+        if b > 0:
+            new = durable(new.withColumn("at", F.lit(b)))
+            crossed_at = new if crossed_at is None else crossed_at.unionByName(new)
+    if crossed_at is None:
+        return spark.createDataFrame([], "batch_id int, seq long, line_no int")
+    return occurrences_of(keyed, crossed_at).where("batch_id <= at").select(F.col("at").alias("batch_id"), "seq", "line_no").distinct()
 
 
 def p6_stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +164,12 @@ k AS (SELECT * FROM l WHERE line <> '')"""
 _SQL_EXCESS = """
 {name} AS (SELECT c.host, c.line FROM (SELECT host, line, count(DISTINCT seq) AS n FROM k {where} GROUP BY host, line) c
       JOIN (SELECT host, count(*) AS total FROM t {where} GROUP BY host) h ON h.host = c.host WHERE c.n >= 4 AND c.n * 100 >= h.total * 15)"""
+_BY_BATCH = """
+b AS (SELECT DISTINCT coalesce(batch_id, 0) AS upto FROM t), n AS (SELECT upto, host, line, count(DISTINCT seq) AS n FROM k JOIN b ON coalesce(k.batch_id, 0) <= upto GROUP BY ALL),
+h AS (SELECT upto, host, count(*) AS total FROM t JOIN b ON coalesce(t.batch_id, 0) <= upto GROUP BY ALL),
+e AS (SELECT n.upto, n.host, n.line FROM n JOIN h ON h.upto = n.upto AND h.host = n.host WHERE n >= 4 AND n * 100 >= total * 15),
+c AS (SELECT e.* FROM e WHERE upto > 0 AND NOT EXISTS (SELECT 1 FROM e p WHERE p.host = e.host AND p.line = e.line AND p.upto = (SELECT max(b.upto) FROM b WHERE b.upto < e.upto)))"""
 SQL = {
     "p6_found": f"WITH {_SQL_LINES}, {_SQL_EXCESS.format(name='e', where='')} SELECT DISTINCT k.seq, k.line_no::INT AS line_no FROM k JOIN e ON e.host = k.host AND e.line = k.line",
-    "p6_crossed": f"""WITH {_SQL_LINES}, {_SQL_EXCESS.format(name='e', where='')}, {_SQL_EXCESS.format(name='b', where='WHERE batch_id < (SELECT max(batch_id) FROM extracted_text)')}
-SELECT DISTINCT k.seq, k.line_no::INT AS line_no FROM k JOIN e ON e.host = k.host AND e.line = k.line WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.host = k.host AND b.line = k.line)""",
+    "p6_crossed": f"WITH {_SQL_LINES}, {_BY_BATCH} SELECT DISTINCT c.upto::INT AS batch_id, k.seq, k.line_no::INT AS line_no FROM k JOIN c ON c.host = k.host AND c.line = k.line AND coalesce(k.batch_id, 0) <= c.upto",
 }
