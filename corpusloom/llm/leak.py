@@ -23,8 +23,8 @@ from ..session import read_table, spread
 SPAN = 12
 #: known words of a shard's index at most (but for one document that has more), and the distance of sampled positions
 SHARD, SAMPLE = 2_000_000, 8
-#: held-out items the driver may gather; beyond it, split the items into several calls
-MOST_ITEMS = 200_000
+#: bytes of held-out items that one pass over the documents searches for; more items take more passes
+MOST_BYTES = 32_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 # Characters that don't show: soft hyphen, zero-width characters, word joiner, byte order mark.
@@ -134,18 +134,42 @@ class FmIndex:
 
 
 class Items:
-    """The windows of SPAN words of the held-out items, in numbers of their vocabulary."""
+    """The windows of SPAN words of the held-out items, in numbers of their vocabulary.
+
+    Only the words and each item's numbers travel to the workers; the windows
+    are laid over them there.
+    """
 
     def __init__(self, items: list[tuple[int, str | None]]):
         self.vocabulary: dict[str, int] = {}
-        rows, of = [], []
+        each, self.ids = [], []
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for i in range(len(ids) - SPAN + 1):
-                rows.append(ids[i : i + SPAN])
-                of.append(item)
-        self.patterns = np.array(rows, dtype=np.int64).reshape(len(rows), SPAN)
-        self.item = np.array(of, dtype=np.int64)
+            words = words_of(text)
+            if len(words) >= SPAN:
+                each.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], dtype=np.int32))
+                self.ids.append(item)
+        self.sizes = [len(x) for x in each]
+        self.words = np.concatenate(each) if each else np.zeros(0, np.int32)
+        self._laid: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_laid": None}
+
+    def _lay(self) -> tuple[np.ndarray, np.ndarray]:
+        if self._laid is None:
+            starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1].astype(np.int64)
+            first = np.concatenate([s + np.arange(n - SPAN + 1) for s, n in zip(starts, self.sizes)]) if self.sizes else np.zeros(0, np.int64)
+            of = np.repeat(np.array(self.ids, dtype=np.int64), [n - SPAN + 1 for n in self.sizes]) if self.sizes else np.zeros(0, np.int64)
+            self._laid = self.words[first[:, None] + np.arange(SPAN)].astype(np.int64).reshape(len(first), SPAN), of
+        return self._laid
+
+    @property
+    def patterns(self) -> np.ndarray:
+        return self._lay()[0]
+
+    @property
+    def item(self) -> np.ndarray:
+        return self._lay()[1]
 
 
 def search_shard(items: Items, docs: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int, int, int]]:
@@ -178,20 +202,32 @@ def search_shard(items: Items, docs: list[tuple[int, int, np.ndarray]]) -> list[
     return out
 
 
-def leaked_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaked_spans(docs: DataFrame, items: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """(doc_id, item_id, first_word, last_word) of every passage of at least SPAN words of an item.
 
     Words of a document are numbered from 0.  NULL and empty texts, and items of
-    fewer words, give no rows.  The items are gathered on the driver behind a
-    check of their number; documents are read once and nothing is shuffled.
+    fewer words, give no rows.  The bytes of the items are summed first; items
+    of up to ``most_bytes`` are gathered and broadcast for one pass over the
+    documents, and more items take more passes.  Nothing is shuffled.
     """
-    rows = items.select("item_id", "text").limit(MOST_ITEMS + 1).collect()
-    if len(rows) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} held-out items: search them in several calls")
-    held = Items([(r.item_id, r.text) for r in rows])
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    passes = max(1, -(-total // most_bytes))
+    docs = spread(docs.select("doc_id", "text"))
+    out: DataFrame | None = None
+    for k in range(passes):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
+        found = _search(docs, Items([(r.item_id, r.text) for r in part.select("item_id", "text").collect()]))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _search(docs: DataFrame, items: Items) -> DataFrame:
+    """One pass over the documents for items of bounded size."""
+    sent = docs.sparkSession.sparkContext.broadcast(items)
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first_word", pa.int32()), ("last_word", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = sent.value
         get = held.vocabulary.get
         shard: list[tuple[int, int, np.ndarray]] = []
         size = 0
@@ -217,7 +253,7 @@ def leaked_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
                     shard, size = [], 0
         yield flush()
 
-    return spread(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, item_id long, first_word int, last_word int")
+    return docs.mapInArrow(run, "doc_id long, item_id long, first_word int, last_word int")
 
 
 def p9_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

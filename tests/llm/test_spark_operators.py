@@ -134,3 +134,23 @@ def test_leaks_against_scanning(spark, small):
         for k in range(len(w) - 11):
             want |= {(r.doc_id, i) for i in grams.get(tuple(w[k : k + 12]), ())}
     assert got == want
+
+
+def test_items_beyond_the_bound_take_more_passes(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    items = spark.read.parquet(f"{small}/eval_items.parquet")
+    once = sorted(map(tuple, leak.leaked_spans(docs, items).collect()))
+    assert once and once == sorted(map(tuple, leak.leaked_spans(docs, items, most_bytes=20_000).collect()))
+
+
+def test_a_text_of_twenty_megabytes(spark):
+    """Cutting, counting and encoding grow with the text and not with its square."""
+    import time
+
+    text = "The old boat was in the harbour, and 22 keepers of the light's dog sang. " * 270_000
+    df = spark.createDataFrame([(1, text)], "id long, text string")
+    began = time.time()
+    counts = quality.text_counts(df, ["the", "was", "in"]).first().counts
+    ids = tokens.encode_texts(df.withColumnRenamed("id", "doc_id")).first().ids
+    assert counts[0] == len(text) and len(ids) > 4_000_000
+    assert time.time() - began < 120
