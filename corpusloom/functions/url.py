@@ -74,7 +74,7 @@ def _decoded(s: Column) -> Column:
 def _tracking(key: Column, profile: str) -> Column:
     low = F.lower(key)
     prefixed = key if profile == "fast" else low
-    out = low.isin(K.TRACKING_KEYS)
+    out = low.isin(*K.TRACKING_KEYS)
     for p in K.TRACKING_PREFIXES:
         out = out | prefixed.startswith(p)
     return out
@@ -159,14 +159,14 @@ def registrable_domain(host: Column) -> Column:
     labels = F.split(host, r"\.")
     n = F.size(labels)
     tail = lambda k: F.array_join(F.slice(labels, n - k + 1, F.lit(k)), ".")
-    return F.when(n <= 2, host).when(tail(2).isin(K.TWO_LABEL_SUFFIXES), tail(3)).otherwise(tail(2))
+    return F.when(n <= 2, host).when(tail(2).isin(*K.TWO_LABEL_SUFFIXES), tail(3)).otherwise(tail(2))
 
 
 def is_english_host(host: Column) -> Column:
     """Whether a host is plain ASCII with sound labels under a top-level domain read as English."""
     labels = F.split(host, r"\.")
     sound = F.forall(labels, lambda x: x.rlike("^[a-z0-9-]+$") & ~x.rlike("^-|-$|^xn--"))
-    return F.coalesce(sound & F.element_at(labels, -1).isin(K.ENGLISH_TLDS), F.lit(False))
+    return F.coalesce(sound & F.element_at(labels, -1).isin(*K.ENGLISH_TLDS), F.lit(False))
 
 
 def in_scope(host: Column, hosts: list[str], domains: list[str], subdomains: bool) -> Column:

@@ -79,19 +79,31 @@ def simhash_blake(words: pd.Series) -> pd.Series:
     return words.map(lambda w: None if w is None else f"{blake_simhash(list(w)):016x}")
 
 
+@arrow_udf("string")
+def simhash_of_words(words: pd.Series) -> pd.Series:
+    """16 hex digits of a 64-bit SimHash of arrays of words, with the first half of md5 as feature hash; NULL stays NULL."""
+    import numpy as np
+
+    out = []
+    for w in words:
+        if w is None:
+            out.append(None)
+            continue
+        w = list(w)
+        feats = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 5 else w
+        digests = b"".join(hashlib.md5(f.encode()).digest()[:8] for f in feats)
+        votes = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        out.append(np.packbits(2 * votes >= len(feats)).tobytes().hex())
+    return pd.Series(out, dtype=object)
+
+
 def simhash_md5(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, simhash): 64-bit SimHash with the first half of md5 as feature hash, in generated code.
+    """(key, simhash): 64-bit SimHash of the 3-word shingles of each text; texts without words get all ones.
 
-    The votes are 64 sums per document, combined before the shuffle; texts
-    without words get all ones.
+    The votes of a text are counted where it stands; nothing is shuffled.
     """
-    feats = F.explode(T.shingles(T.tokens(T.normalized_for_hash(F.coalesce(F.col(text), F.lit(""))))))
-    each = df.select(key, feats.alias("f")).select(key, F.conv(F.substring(F.md5("f"), 1, 16), 16, -10).cast("long").alias("h"))
-    bit = lambda b: F.sum(F.when(F.col("h").bitwiseAND(1 << b if b < 63 else -(1 << 63)) != 0, 1).otherwise(-1)) >= 0
-    votes = each.groupBy(key).agg(*[bit(b).alias(f"b{b}") for b in range(64)])
-    nibble = lambda k: F.lit("0123456789abcdef").substr(sum((F.when(F.col(f"b{4 * k + j}"), 1 << j).otherwise(0) for j in range(1, 4)), F.when(F.col(f"b{4 * k}"), 1).otherwise(0)) + 1, F.lit(1))
-    hexed = votes.select(key, F.concat(*[nibble(k) for k in range(15, -1, -1)]).alias("simhash"))
-    return df.select(key).join(hexed, key, "left").select(key, F.coalesce("simhash", F.lit("f" * 16)).alias("simhash"))
+    words = T.tokens(T.normalized_for_hash(F.coalesce(F.col(text), F.lit(""))))
+    return df.select(key, simhash_of_words(words).alias("simhash"))
 
 
 def bands(simhash: Column) -> Column:
@@ -105,17 +117,35 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(n(a).bitwiseXOR(n(b)))
 
 
+def block_keys(simhash: Column, threshold: int) -> Column:
+    """Keys one of which any two hashes share that share a 16-bit band and differ in at most ``threshold`` bits.
+
+    The 48 bits outside a shared band are cut in threshold + 1 blocks; at most
+    ``threshold`` of them can differ, so one is equal.  Band and block together
+    make keys far rarer than bands alone.
+    """
+    bits = F.concat(*[F.lpad(F.conv(simhash.substr(F.lit(1 + 4 * i), F.lit(4)), 16, 2), 16, "0") for i in range(4)])
+    keys = []
+    for band in range(4):
+        rest = F.concat(bits.substr(F.lit(1), F.lit(16 * band)), bits.substr(F.lit(16 * band + 17), F.lit(64)))
+        for block in range(threshold + 1):
+            start, end = 48 * block // (threshold + 1), 48 * (block + 1) // (threshold + 1)
+            keys.append(F.xxhash64(F.lit(16 * band + block), bits.substr(F.lit(16 * band + 1), F.lit(16)), rest.substr(F.lit(start + 1), F.lit(end - start))))
+    return F.array(*keys)
+
+
 def near_pairs(hashes: DataFrame, key: str, threshold: int = 4) -> DataFrame:
     """(a, b, distance) of different hashes that share a band within the threshold, one row per pair.
 
     ``hashes`` has one row per different hash, so identical texts never make
-    pairs with each other; the join is on equal bands, with the distance as a
-    residual condition.
+    pairs with each other; the join is on ``block_keys``, with band and distance
+    as residual conditions.
     """
-    each = hashes.select(key, "simhash", F.explode(bands(F.col("simhash"))).alias("band"))
-    l = each.select(F.col(key).alias("a"), F.col("simhash").alias("ha"), "band")
-    r = each.select(F.col(key).alias("b"), F.col("simhash").alias("hb"), "band")
-    return l.join(r, "band").where("a < b").withColumn("distance", hamming(F.col("ha"), F.col("hb"))).where(F.col("distance") <= threshold).select("a", "b", "distance").distinct()
+    each = hashes.select(key, "simhash", F.explode(block_keys(F.col("simhash"), threshold)).alias("block"))
+    l = each.select(F.col(key).alias("a"), F.col("simhash").alias("ha"), "block")
+    r = each.select(F.col(key).alias("b"), F.col("simhash").alias("hb"), "block")
+    pairs = l.join(r, "block").where("a < b").withColumn("distance", hamming(F.col("ha"), F.col("hb"))).where(F.col("distance") <= threshold)
+    return pairs.where(F.arrays_overlap(bands(F.col("ha")), bands(F.col("hb")))).select("a", "b", "distance").distinct()
 
 
 def near_resolve(df: DataFrame, key: str, threshold: int = 4) -> DataFrame:

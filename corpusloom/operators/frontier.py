@@ -48,10 +48,12 @@ def enqueue_reasons(df: DataFrame, order: str, allowed: Column, cap: int | None
     x = x.withColumn("reason", reason).drop("_in", "_good", "_first")
     if cap is None:
         return x
-    # the cap falls right after the cap-th accepted row: find its order without numbering all rows in one task
-    last = x.where("reason = 'queued'").orderBy(order).limit(cap).agg(F.max(order).alias("_last"), F.count("*").alias("_n"))
+    # the cap falls right after the cap-th accepted row: found by numbers given range by range
+    x = durable(x)
+    last = numbered(x.where("reason = 'queued'").select(order), order).where(F.col("_i") == cap - 1).agg(F.max(order).alias("_last"))
     x = x.crossJoin(F.broadcast(last))  # one row
-    return x.withColumn("reason", F.when((F.col("_n") >= cap) & (F.col(order) > F.col("_last")), "max_discovered_reached").otherwise(F.col("reason"))).drop("_last", "_n")
+    late = F.coalesce(F.col(order) > F.col("_last"), F.lit(False)) if cap else F.lit(True)
+    return x.withColumn("reason", F.when(late, "max_discovered_reached").otherwise(F.col("reason"))).drop("_last")
 
 
 def score(source: Column, url: Column, lastmod: Column, as_of: Column) -> Column:
@@ -65,12 +67,12 @@ def score(source: Column, url: Column, lastmod: Column, as_of: Column) -> Column
     has = F.coalesce(lastmod, F.lit("")) != ""
     seconds = F.unix_timestamp(as_of) - F.unix_timestamp(F.try_to_timestamp(lastmod))
     age = F.greatest(F.floor(seconds / 86400), F.lit(0))
-    fresh = F.when(seconds.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), 30 - F.least(F.lit(30.0), age / 7)))
+    fresh = F.when(seconds.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), K.FRESH_SCORE - F.least(F.lit(K.FRESH_SCORE), age / K.DAYS_PER_POINT)))
     path = F.lower(U.path_of(url))
     content = F.lit(False)
     for step in K.CONTENT_STEPS:
         content = content | path.contains(step)
-    return base + F.when(has, fresh + 10).otherwise(0.0) + F.when(content, 15.0).otherwise(0.0) - F.when(U.query_of(url) != "", 10.0).otherwise(0.0)
+    return base + F.when(has, fresh + K.DATED_SCORE).otherwise(0.0) + F.when(content, K.CONTENT_SCORE).otherwise(0.0) - F.when(U.query_of(url) != "", K.QUERY_SCORE).otherwise(0.0)
 
 
 def candidate_reasons(df: DataFrame, order: str, hosts: Column, prefixes: list[str], as_of: Column) -> DataFrame:
@@ -127,17 +129,33 @@ def round_robin(df: DataFrame, order: str, n: int) -> DataFrame:
     return numbered(df, order).withColumn("shard", F.pmod(F.col("_i"), F.lit(n)).cast("int")).drop("_i")
 
 
+def _ranked(df: DataFrame, group: list[str], order: list[str], k: int, name: str) -> DataFrame:
+    """Adds the rank of a row in its group, for the first k rows of each group at least and no more than a few times as many.
+
+    Spark cuts groups before the shuffle up to WINDOW_CUT rows; for more, each
+    group is cut in CHUNKS parts first, so that no task sorts all of a hot group.
+    """
+    if k > WINDOW_CUT:
+        part = F.pmod(F.xxhash64(*order), F.lit(CHUNKS))
+        df = df.withColumn("_part", part).withColumn("_pre", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))).where(F.col("_pre") <= k).drop("_part", "_pre")
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
+#: rows up to which Spark cuts the groups of a rank before the shuffle, and parts of a group beyond that
+WINDOW_CUT, CHUNKS = 1000, 64
+
+
 def per_group_cap(df: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
     """At most k rows of each group in the order; groups are cut before the shuffle."""
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_rn") <= k).drop("_rn")
+    return _ranked(df, group, order, k, "_rn").where(F.col("_rn") <= k).drop("_rn")
 
 
 def fair_interleave(df: DataFrame, site: str, order: str, budget: int, least: int = 4) -> DataFrame:
     """Adds turn: at most max(least, budget // sites) rows of each site, to be taken turn by turn."""
     sites = df.agg(F.count_distinct(site).alias("_sites"))
-    turn = F.row_number().over(Window.partitionBy(site).orderBy(order))
+    most = max(least, budget)
     quota = F.greatest(F.lit(least), F.floor(F.lit(budget) / F.greatest(F.col("_sites"), F.lit(1))))
-    return df.withColumn("turn", turn).where(F.col("turn") <= max(least, budget)).crossJoin(F.broadcast(sites)).where(F.col("turn") <= quota).drop("_sites")
+    return _ranked(df, [site], [order], most, "turn").where(F.col("turn") <= most).crossJoin(F.broadcast(sites)).where(F.col("turn") <= quota).drop("_sites")
 
 
 def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
@@ -147,32 +165,29 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     rows only and drops what was seen; cycles end by themselves.
     """
     edges = durable(edges.where("from_url is not null and to_url is not null").select("from_url", "to_url").distinct())
-    seen = durable(seeds.where("url is not null").select("url").distinct().withColumn("depth", F.lit(0)))
-    new = seen
+    # levels stay where they were written; only the new one is written in each round
+    seen = new = durable(seeds.where("url is not null").select("url").distinct().withColumn("depth", F.lit(0)))
     for depth in range(1, max_depth + 1):
         step = edges.join(new.select(F.col("url").alias("from_url")), "from_url").select(F.col("to_url").alias("url")).distinct()
         new = durable(step.join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth)))
         if new.isEmpty():
             break
-        seen = durable(seen.unionByName(new))
+        seen = seen.unionByName(new)
     return seen
 
 
-def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame, max_rounds: int = 20) -> DataFrame:
-    """(sitemap, kind, url) reached from the roots: children are followed once each, pages are collected.
+def expand_sitemaps(sitemaps: DataFrame, roots: DataFrame) -> DataFrame:
+    """(sitemap, kind, url) reached from the roots: children are followed once each until none is new, pages are collected.
 
     ``sitemaps`` has sitemap, kind (child or page), url.  A cycle ends by itself.
     """
-    todo = durable(roots.select(F.col("url").alias("sitemap")).distinct())
-    seen, out = todo, None
-    for _ in range(max_rounds):
-        hit = sitemaps.join(todo, "sitemap")
-        out = hit if out is None else out.unionByName(hit)
-        todo = durable(hit.where("kind = 'child'").select(F.col("url").alias("sitemap")).distinct().join(seen, "sitemap", "left_anti"))
-        if todo.isEmpty():
-            break
-        seen = durable(seen.unionByName(todo))
-    return out.distinct()
+    sitemaps = durable(sitemaps.select("sitemap", "kind", "url").distinct())
+    seen = todo = durable(roots.select(F.col("url").alias("sitemap")).distinct())
+    while not todo.isEmpty():
+        children = sitemaps.where("kind = 'child'").join(todo, "sitemap").select(F.col("url").alias("sitemap")).distinct()
+        todo = durable(children.join(seen, "sitemap", "left_anti"))
+        seen = seen.unionByName(todo)
+    return sitemaps.join(seen, "sitemap", "left_semi")
 
 
 def with_fallback(primary: DataFrame, fallback: DataFrame, site: str) -> DataFrame:

@@ -126,8 +126,8 @@ _LP = f"coalesce({part('to_url', 3)}, '')"
 SQL["static_ext_filter"] = f"SELECT lower(regexp_extract({_LP}, '\\.([A-Za-z0-9]+)$', 1)) AS ext, {static(_LP)} AS is_static, count(*) AS n FROM links GROUP BY 1, 2"
 SQL["tracking_params"] = f"""SELECT name, name IN {listed(K.TRACKING_KEYS)} OR {' OR '.join(f"starts_with(name, {q(p)})" for p in K.TRACKING_PREFIXES)} AS tracking, count(*) AS n
 FROM (SELECT lower(split_part(p, '=', 1)) AS name FROM (SELECT unnest(string_split({part('to_url', 4)}, '&')) AS p FROM links) WHERE p <> '') GROUP BY 1, 2"""
-SQL["sitemap_feed_candidates"] = f"""SELECT seed_url, rtrim(seed_url, '/') || p AS candidate, 'sitemap' AS kind FROM site_seeds, (SELECT unnest({K.SITEMAP_PATHS}) AS p)
-UNION ALL SELECT seed_url, rtrim(seed_url, '/') || p, 'feed' FROM site_seeds, (SELECT unnest({K.FEED_PATHS}) AS p)"""
+SQL["sitemap_feed_candidates"] = f"""SELECT seed_url, rtrim(seed_url, '/') || p AS candidate, 'sitemap' AS kind FROM site_seeds, (SELECT unnest({[*K.SITEMAP_PATHS]}) AS p)
+UNION ALL SELECT seed_url, rtrim(seed_url, '/') || p, 'feed' FROM site_seeds, (SELECT unnest({[*K.FEED_PATHS]}) AS p)"""
 SQL["names_and_buckets"] = f"""SELECT host, coalesce(nullif(trim(regexp_replace(scope, '[^A-Za-z0-9_.-]+', '_', 'g'), '_'), ''), 'site') AS safe,
 CASE WHEN regexp_matches(source_wet_path, '^https?://') THEN source_wet_path ELSE '{K.DATA_ROOT}' || ltrim(source_wet_path, '/') END AS wet_url,
 (('0x' || substr(md5(lower(host)), 1, 15))::BIGINT % 16)::BIGINT AS bucket, '000007_' || {host('seed_url')} || '_home_' || substr(sha1(seed_url), 1, 12) || '.html' AS artifact FROM site_seeds"""

@@ -451,11 +451,16 @@ def _sites(spark, d) -> DataFrame:
     return fetched.join(open_, "host", "left").withColumn("open", F.coalesce("open", F.lit(0)))
 
 
+def _completed(spark, d) -> DataFrame:
+    """The sites with why each stopped and whether it is complete."""
+    why = E.stopped_reason(F.col("open"), F.col("fetched"), F.col("fetched") + F.col("open"), 200, 400)
+    s = _sites(spark, d).withColumn("stopped_reason", why)
+    return s.withColumn("complete", (F.col("open") == 0) & (F.col("stopped_reason") == "frontier_exhausted"))
+
+
 @query
 def site_completion(spark, d):
-    s = _sites(spark, d)
-    why = E.stopped_reason(F.col("open"), F.col("fetched"), F.col("fetched") + F.col("open"), 200, 400)
-    return s.select("host", "fetched", "open", why.alias("stopped_reason"), ((F.col("open") == 0) & (why == "frontier_exhausted")).alias("complete"))
+    return _completed(spark, d).select("host", "fetched", "open", "stopped_reason", "complete")
 
 
 @query
@@ -565,8 +570,7 @@ def site_verify(spark, d):
 
 @query
 def run_rollup(spark, d):
-    v, s = site_completion(spark, d), _sites(spark, d)
-    return v.join(s.select("host", "ok", "unique_text"), "host").agg(
+    return _completed(spark, d).agg(
         F.count("*").alias("sites"), F.count_if("complete").alias("complete"), F.count_if(F.col("stopped_reason") != "frontier_exhausted").alias("capped"),
         F.sum("fetched").alias("fetched"), F.sum("ok").alias("ok"), F.sum("unique_text").alias("unique_text"), F.sum("open").alias("open"),
     )
@@ -575,9 +579,8 @@ def run_rollup(spark, d):
 @query
 def cross_site_summary(spark, d):
     """Sites by completion with the first non-zero of three record counts."""
-    v, s = site_completion(spark, d), _sites(spark, d)
-    records = A.first_truthy(F.col("unique_text"), F.col("ok"), F.col("f2"))
-    return v.join(s.select("host", "ok", "unique_text", F.col("fetched").alias("f2")), "host").groupBy("complete").agg(F.count("*").alias("sites"), F.sum(records).alias("records"))
+    records = A.first_truthy(F.col("unique_text"), F.col("ok"), F.col("fetched"))
+    return _completed(spark, d).groupBy("complete").agg(F.count("*").alias("sites"), F.sum(records).alias("records"))
 
 
 @query
@@ -679,7 +682,7 @@ def sitemap_expand(spark, d):
     """From the seed pages: links of source sitemap_link are followed, page links are collected, over any number of rounds."""
     f, t = U.normalize(F.col("from_url")), U.normalize(F.col("to_url"))
     s = _links(spark, d).where("source <> 'feed'").select(f.alias("sitemap"), F.when(F.col("source") == "sitemap_link", "child").otherwise("page").alias("kind"), t.alias("url")).where("sitemap is not null and url is not null").distinct()
-    return R.expand_sitemaps(s, _starts(spark, d), 50)
+    return R.expand_sitemaps(s, _starts(spark, d))
 
 
 @query

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, folder
 
 
 def event_stream(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
@@ -38,12 +38,21 @@ def seen_once(events: DataFrame, keys: list[str], late: str | None = None) -> Da
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys) if late else events.dropDuplicates(keys)
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over what is there now and gives the result in memory; for reports of bounded size."""
+def run_to_table(df: DataFrame, name: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
+    """Runs a stream over what is there now into a table of the shared folder, and gives the table.
+
+    ``complete`` writes the result of each batch over the last one, ``append``
+    adds to it; a batch that is repeated after a failure writes its own part again.
+    """
     spark = df.sparkSession
-    q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    path = folder(spark, name)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch=0" if mode == "complete" else f"{path}/batch={number}")
+
+    q = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint or folder(spark, name + "-offsets")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_batches(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
