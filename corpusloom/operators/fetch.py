@@ -34,6 +34,12 @@ def fast_class(status: Column, content_type: Column, size: Column, challenge: Co
     )
 
 
+def xml_class(source: Column, status: Column, is_xml: Column) -> Column:
+    """Result of a fetched sitemap or feed: fetch_error, http_N, sitemap_not_xml, feed_not_xml or ok."""
+    not_xml = F.when(source == "feed", "feed_not_xml").otherwise("sitemap_not_xml")
+    return F.when(status.isNull(), "fetch_error").when(status != 200, F.concat(F.lit("http_"), status.cast("string"))).when(~F.coalesce(is_xml, F.lit(False)), not_xml).otherwise("ok")
+
+
 def is_retryable(status: Column, error: Column) -> Column:
     """Worth another try: no 304, no client error but 429, nothing too large."""
     too_large = F.coalesce(F.lower(error).contains("too large") | (error == "too_large"), F.lit(False))

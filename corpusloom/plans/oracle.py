@@ -154,7 +154,6 @@ _TITLE = stripped(unescape("regexp_replace(regexp_extract(h, '<title[^>]*>(.*?)<
 SQL["regex_extract_text"] = f"SELECT seq, {_TITLE} AS title, md5({clean(unescape(f'''regexp_replace({_BLOCKS}, '<[^>]+>', ' ', 'gs')'''))}) AS text_md5 FROM (SELECT seq, {_HTML} AS h FROM extracted_text WHERE text IS NOT NULL)"
 SQL["regex_extract_links"] = f"""SELECT seq, href, {norm('href')} AS normalized, {kind(norm('href'))} AS kind FROM (SELECT seq, unnest(regexp_extract_all(h, '\\bhref\\s*=\\s*["'']([^"''#\\s>]+)["'']', 1, 'i')) AS href FROM (SELECT seq, {_HTML} AS h FROM extracted_text WHERE text IS NOT NULL)) WHERE {norm('href')} IS NOT NULL"""
 SQL["challenge_flags"] = "SELECT seq, true AS challenge FROM extracted_text WHERE " + " OR ".join(f"contains(lower(substr(text, 1, 4096)), {q(m)})" for m in K.CHALLENGE_MARKERS)
-SQL["xml_sniff"] = f"SELECT content_type, coalesce(contains(lower(content_type), 'xml'), false) AS xml, count(*) AS n FROM {_M} GROUP BY 1, 2"
 SQL["charset_decode"] = "SELECT seq, true AS utf8, true AS utf16 FROM extracted_text WHERE text IS NOT NULL"
 SQL["robots_allowed"] = f"SELECT seq, NOT (starts_with({_PATH}, '/archive/') OR starts_with({_PATH}, '/news/')) AS allowed FROM extracted_text WHERE url IS NOT NULL"
 SQL["sitemap_parse"] = f"SELECT DISTINCT {host('to_url')} AS host, trim(to_url) AS url, '2025-01-02' AS lastmod FROM links WHERE source = 'sitemap_link' AND {host('to_url')} <> ''"
@@ -266,3 +265,116 @@ SQL["conditional_revisit"] = f"WITH c AS ({SQL['http_cache_latest']}) SELECT coa
 SQL["stream_tumbling"] = "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round_even(sum(value), 2) AS total FROM events GROUP BY 1, 2"
 SQL["stream_sessions"] = "WITH g AS (SELECT user_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new FROM events) SELECT user_id, sum(new)::BIGINT AS sessions, count(*) AS events FROM g GROUP BY user_id"
 SQL["stream_seen"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+# --- files: what comes back is what was written
+SQL["jsonl_strict"] = "SELECT seq, url, title, md5(text) AS text_md5 FROM extracted_text"
+SQL["jsonl_without_text"] = "SELECT seq, title, text_length, false AS has_text FROM extracted_text"
+SQL["jsonl_lenient"] = "SELECT seq, url, mime FROM index_records WHERE coalesce(mime, '') <> ''"
+SQL["index_lines"] = f"SELECT CASE WHEN coalesce(mime, '') = '' THEN 'bad_index_lines' ELSE coalesce({_IDX}, 'checked') END AS reason, count(*) AS n FROM index_records GROUP BY 1"
+SQL["csv_round_trip"] = f"SELECT seq, url, status::VARCHAR AS status, '' AS lastmod FROM {_M}"
+_SAFE = "coalesce(nullif(trim(regexp_replace(scope, '[^A-Za-z0-9_.-]+', '_', 'g'), '_'), ''), 'site')"
+SQL["seeds_two_columns"] = f"SELECT seed_url, scope, CASE WHEN sample_url IS NOT NULL THEN coalesce(output_name, {_SAFE}) ELSE {_SAFE} END AS output_name FROM site_seeds WHERE seed_url IS NOT NULL AND scope IS NOT NULL"
+SQL["seeds_three_columns"] = "SELECT seed_url, scope, output_name FROM site_seeds WHERE seed_url IS NOT NULL AND scope IS NOT NULL AND sample_url IS NOT NULL AND output_name IS NOT NULL"
+SQL["seeds_mixed"] = "SELECT coalesce(sample_url, seed_url) AS url FROM site_seeds WHERE coalesce(sample_url, seed_url) <> ''"
+SQL["registry_appended"] = "SELECT DISTINCT host, 1::BIGINT AS lines FROM site_seeds WHERE host <> ''"
+SQL["archive_paths"] = f"SELECT CASE WHEN regexp_matches(source_wet_path, '^https?://') THEN source_wet_path ELSE '{K.DATA_ROOT}' || ltrim(source_wet_path, '/') END AS url, count(*) AS n FROM site_seeds WHERE source_wet_path IS NOT NULL GROUP BY 1"
+SQL["archive_headers"] = "SELECT url AS target_url, '<urn:' || seq || '>' AS record_id, octet_length(encode(coalesce(text, '')))::BIGINT AS length FROM extracted_text"
+_DISCOVERED = f"""WITH known AS (SELECT DISTINCT scope FROM site_seeds WHERE sample_url IS NULL AND scope IS NOT NULL), x AS (SELECT seq, {site('url', 'reason')} AS why, {site('url', 'scope')} AS scope FROM extracted_text),
+r AS (SELECT seq, coalesce(why, CASE WHEN scope IN (SELECT scope FROM known) THEN 'already_known' WHEN seq > min(seq) OVER (PARTITION BY scope) THEN 'duplicate_site' ELSE 'accepted' END) AS reason FROM x)"""
+SQL["archive_discovery"] = _DISCOVERED + " SELECT reason, count(*) AS n FROM r GROUP BY reason"
+SQL["frontier_dump"] = _FRONTIER
+SQL["summary_file"] = SQL["run_rollup"]
+SQL["state_replaced"] = "SELECT seq, url_hash, etag FROM http_cache"
+SQL["html_store"] = f"SELECT sha1(final_url) AS name, 'h' || substr(sha1(final_url), 1, 2) AS part, final_url, md5('<title>' || coalesce(title, '') || '</title>') AS html_md5, lpad(seq::VARCHAR, 6, '0') AS number FROM {_M} WHERE final_url IS NOT NULL"
+SQL["per_site_files"] = f"SELECT seq, source AS site FROM {_M} WHERE source IS NOT NULL"
+SQL["file_line_counts"] = f"SELECT source AS site, count(*) AS lines FROM {_M} WHERE source IS NOT NULL GROUP BY source"
+SQL["file_listing"] = "SELECT 'part' AS name, true AS exists, sum(octet_length(encode(host)) + 1)::BIGINT AS size, true AS aged FROM site_seeds UNION ALL SELECT 'absent', false, 0, true"
+SQL["worker_files_merged"] = """SELECT seq, url, NULL AS title, NULL AS source FROM extracted_text WHERE depth <= 1 UNION ALL SELECT seq, url, title, NULL FROM extracted_text WHERE depth > 1 UNION ALL SELECT seq, NULL, NULL, source FROM extracted_text WHERE depth IS NULL"""
+SQL["log_tail"] = "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 20"
+SQL["sample_pages"] = "SELECT seq, url, title FROM extracted_text ORDER BY seq LIMIT 15"
+
+# --- bodies
+
+
+def lines(t: str) -> str:
+    """Lines without white space at their ends and without blank ones."""
+    return stripped(f"regexp_replace(regexp_replace({t}, '[ \\t\\r\\f\\x0B]+', ' ', 'g'), '{_S}*\\n{_S}*', chr(10), 'g')")
+
+
+_TEXT, _TTL = lines("text"), stripped("regexp_replace(coalesce(title, ''), '[ \\t\\r\\f\\x0B]+', ' ', 'g')")
+_ALL = f"concat_ws(chr(10), nullif({_TTL}, ''), nullif({_TEXT}, ''), 'link', 'feed')"
+_WORDS = f"len(list_filter(regexp_split_to_array({_TEXT}, '{_S}+'), lambda w: w <> ''))"
+SQL["main_content"] = f"SELECT seq, CASE WHEN {_WORDS} >= 25 THEN 'main_content' ELSE 'fallback' END AS extractor, md5(CASE WHEN {_WORDS} >= 25 THEN {_TEXT} ELSE {_ALL} END) AS text_md5 FROM extracted_text WHERE text IS NOT NULL"
+SQL["parser_extract_text"] = f"SELECT seq, {_TTL} AS title, md5({_ALL}) AS text_md5, 'fallback' AS extractor FROM extracted_text WHERE text IS NOT NULL"
+SQL["extractors_compared"] = "SELECT asked, asked = 'regex' AS navigation, count(*) AS n FROM extracted_text, (SELECT unnest(['main_content', 'parser', 'regex']) AS asked) WHERE text IS NOT NULL GROUP BY asked"
+_ROOT = f"lower({part('url', 1)}) || '://' || {part('url', 2)}"
+SQL["parser_extract_links"] = f"""WITH x AS (SELECT seq, url, {_ROOT} AS root FROM extracted_text WHERE text IS NOT NULL AND url IS NOT NULL), y AS (SELECT seq, 'link' AS role, {norm('url')} AS url FROM x UNION ALL SELECT seq, 'canonical', {norm('url')} FROM x
+UNION ALL SELECT seq, 'link', {norm("(root || '/feed.xml')")} FROM x UNION ALL SELECT seq, 'feed', {norm("(root || '/rss.xml')")} FROM x UNION ALL SELECT seq, 'sitemap', {norm("(root || '/sitemap.xml')")} FROM x) SELECT * FROM y WHERE url IS NOT NULL"""
+SQL["link_modes"] = f"""SELECT 1 + good::INT AS parser, 2 * (good AND NOT regexp_matches(url, '[#\\s]'))::INT AS regex, count(*) AS n FROM (SELECT url, {norm('url')} IS NOT NULL AS good FROM extracted_text WHERE text IS NOT NULL AND url IS NOT NULL) GROUP BY 1, 2"""
+SQL["hrefs_of_limited_length"] = f"""SELECT seq, len(regexp_extract_all(h, '\\bhref\\s*=\\s*["'']([^"''#\\s>]{{1,60}})["'']', 1, 'i'))::INT AS n FROM (SELECT seq, {_HTML} AS h FROM extracted_text WHERE text IS NOT NULL)"""
+SQL["xml_sniff"] = f"SELECT source, content_type, coalesce(contains(lower(content_type), 'xml'), false) OR coalesce(source IN ('feed', 'sitemap_link'), false) AS xml, count(*) AS n FROM {_M} GROUP BY 1, 2, 3"
+SQL["sitemap_index_parse"] = """WITH x AS (SELECT DISTINCT to_url FROM links WHERE source = 'sitemap_link' AND trim(to_url) <> '') SELECT 'child' AS kind, trim(to_url) AS url, '' AS lastmod, '' AS changefreq, '' AS priority FROM x UNION ALL SELECT 'page', trim(to_url), '', 'daily', '0.5' FROM x"""
+SQL["charset_fast"] = "SELECT seq, true AS guessed, true AS by_header, true AS header_first FROM extracted_text WHERE length(text) > 0"
+SQL["gzip_bodies"] = "SELECT seq, md5(text) AS unpacked, md5(text) AS plain FROM extracted_text WHERE text IS NOT NULL"
+SQL["header_lookup"] = f"SELECT seq, coalesce(content_type, '') AS type, 'none' AS absent FROM {_M}"
+SQL["retry_delays"] = f"SELECT status, CASE status WHEN 503 THEN 30.0 WHEN 429 THEN 2.5 ELSE 1.0 END::DOUBLE AS seconds, count(*) AS n FROM {_M} GROUP BY 1, 2"
+_RH = host("url")
+SQL["robots_by_site"] = f"""SELECT seq, CASE WHEN starts_with({_RH}, 'www.') THEN NOT starts_with(lower({_PATH}), '/news/') WHEN starts_with({_RH}, 'blog.') THEN NOT starts_with(lower({_PATH}), '/wiki/') ELSE true END AS allowed,
+CASE WHEN starts_with({_RH}, 'www.') THEN 'https://' || {_RH} || '/sitemap.xml' ELSE '' END AS sitemaps FROM extracted_text WHERE url IS NOT NULL"""
+_TARGET = "(CASE WHEN starts_with(to_url, '#') THEN from_url ELSE to_url END)"
+_FEED = f"SELECT DISTINCT from_url, {norm(_TARGET)} AS url FROM links WHERE source = 'feed' AND {norm(_TARGET)} IS NOT NULL"
+SQL["feed_parse"] = _FEED
+SQL["feed_expand"] = f"SELECT DISTINCT {host('from_url')} AS host, url FROM ({_FEED})"
+SQL["url_resolve"] = f"SELECT DISTINCT from_url, to_url, {norm(_TARGET)} AS normalized FROM links"
+SQL["single_sitemap"] = f"SELECT from_url, url FROM (SELECT DISTINCT from_url, {norm('to_url')} AS url FROM links WHERE source = 'sitemap_link' AND from_url IS NOT NULL AND {norm('to_url')} IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY from_url ORDER BY url) <= 50"
+
+# --- runs
+SQL["discovery_reasons"] = _DISCOVERED + " SELECT seq, reason FROM r"
+SQL["discovery_summary"] = _DISCOVERED + f""", s AS (SELECT count(*) AS records, count(*) FILTER (reason = 'missing_target_url') AS missing, count(*) FILTER (reason = 'invalid_site') AS invalid, count(*) FILTER (reason IN ('duplicate_site', 'already_known', 'accepted')) AS candidates,
+count(*) FILTER (reason = 'duplicate_site') AS duplicates, count(*) FILTER (reason = 'already_known') AS known, count(*) FILTER (reason = 'accepted') AS sites FROM r) SELECT *, {_RATIO('candidates', 'records')} AS candidate_rate, {_RATIO('sites', 'candidates')} AS site_rate, {_RATIO('sites', 'records')} AS "yield" FROM s"""
+SQL["site_dedup_runs"] = f"SELECT min(seq) AS seq, scope, arg_min(seed_url, seq) AS seed_url FROM (SELECT seq, {site('url', 'scope')} AS scope, {site('url', 'seed_url')} AS seed_url FROM extracted_text) WHERE scope IS NOT NULL AND scope NOT IN (SELECT scope FROM site_seeds WHERE sample_url IS NULL AND scope IS NOT NULL) GROUP BY scope"
+SQL["target_dedup"] = f"SELECT domain, min(host) AS host, arg_min(seed_url, host) AS seed_url FROM (SELECT {domain('host')} AS domain, host, seed_url FROM site_seeds) GROUP BY domain"
+SQL["ordered_sources"] = f"SELECT host, string_agg(source, ',' ORDER BY first) AS sources FROM (SELECT {host('url')} AS host, source, min(seq) AS first FROM extracted_text WHERE source IS NOT NULL GROUP BY 1, 2) GROUP BY host"
+SQL["resume_state"] = f"SELECT DISTINCT {norm('url')} AS key, 'url' AS kind FROM manifest WHERE {norm('url')} IS NOT NULL UNION ALL SELECT DISTINCT content_hash, 'content' FROM {_M} WHERE ok AND content_hash <> ''"
+SQL["resumable_sites"] = _SITES + f" SELECT host, seed_url FROM site_seeds WHERE host IN (SELECT host FROM m) AND host NOT IN (SELECT host FROM c WHERE {_COMPLETE})"
+SQL["active_refill"] = _SITES + f" SELECT host, min(seq) AS first FROM m WHERE host NOT IN (SELECT host FROM c WHERE {_COMPLETE}) GROUP BY host ORDER BY first LIMIT 25"
+SQL["processed_archives"] = "SELECT source_wet_path FROM site_seeds WHERE source_wet_path IS NOT NULL GROUP BY source_wet_path HAVING bool_or(sample_url IS NULL)"
+_HOP = _CAND + f""", k AS (SELECT normalized FROM s ORDER BY score DESC, normalized LIMIT 50), hop AS (SELECT DISTINCT {norm('to_url')} AS url FROM links WHERE {norm('from_url')} IN (SELECT normalized FROM k) AND {norm('to_url')} IS NOT NULL),
+u AS (SELECT seq, n, source FROM a UNION ALL SELECT (SELECT max(seq) FROM a) + row_number() OVER (ORDER BY url), {norm('url', 'scored')}, 'link_depth1' FROM hop)"""
+SQL["refilter_after_hop"] = _HOP + f""", v AS (SELECT source, CASE WHEN n IS NULL THEN 'normalize_failed' WHEN min(seq) OVER (PARTITION BY n) < seq THEN 'duplicate_url' WHEN NOT ends_with({host('n')}, '.example') THEN 'offsite' WHEN {_LOW.format(p=_NP, q=_NQ)} THEN 'low_value' ELSE 'accepted' END AS reason FROM u)
+SELECT source, reason, count(*) AS n FROM v GROUP BY 1, 2"""
+SQL["sorted_urls"] = f"SELECT row_number() OVER (ORDER BY url) - 1 AS position, url FROM (SELECT DISTINCT {norm('url')} AS url FROM extracted_text) WHERE url IS NOT NULL"
+SQL["prefix_sample"] = "SELECT host FROM site_seeds ORDER BY host LIMIT 10"
+SQL["first_outlinks"] = "SELECT from_url, to_url FROM (SELECT DISTINCT from_url, to_url FROM links WHERE source = 'page_link' AND from_url IS NOT NULL AND to_url IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY from_url ORDER BY to_url) <= 3"
+SQL["per_domain_cap"] = "SELECT domain, least(count(*), 1200) AS kept, max(seq) FILTER (i <= 1200) AS last, count(*) > 1200 AS capped FROM (SELECT domain, seq, row_number() OVER (PARTITION BY domain ORDER BY seq) AS i FROM index_records) GROUP BY domain"
+SQL["xml_result_classes"] = f"SELECT source, CASE WHEN status IS NULL THEN 'fetch_error' WHEN status <> 200 THEN 'http_' || status WHEN NOT coalesce(contains(lower(content_type), 'xml'), false) THEN CASE WHEN source = 'feed' THEN 'feed_not_xml' ELSE 'sitemap_not_xml' END ELSE 'ok' END AS result, count(*) AS n FROM {_M} WHERE source IN ('sitemap', 'sitemap_link', 'feed') GROUP BY 1, 2"
+SQL["manifest_errors"] = f"WITH m AS (SELECT ok, {_ERR} AS reason FROM {_M}), t AS (SELECT count(*) AS fetched, count(*) FILTER (ok) AS ok FROM m), b AS (SELECT reason, count(*) AS n FROM m WHERE reason IS NOT NULL GROUP BY reason) SELECT reason, n, fetched, ok, {_RATIO('n', 'fetched')} AS share FROM b, t"
+SQL["verification_report"] = f"WITH v AS ({SQL['site_verify']}) SELECT count(*) AS sites, count(*) FILTER (verified) AS verified, bool_and(verified) AS all_verified, sum(fetched)::BIGINT AS fetched, coalesce((SELECT string_agg(host, ' ' ORDER BY host) FROM (SELECT host FROM v WHERE NOT verified ORDER BY host LIMIT 100)), '') AS incomplete FROM v"
+SQL["run_status"] = _SITES + f", l AS (SELECT host, max(fetched_at) AS latest FROM m GROUP BY host) SELECT CASE WHEN {_COMPLETE} THEN 'finished' WHEN coalesce(epoch((SELECT max(latest) FROM l)) - epoch(latest) <= 30 * 86400, false) THEN 'running' ELSE 'stalled' END AS status, count(*) AS sites, sum(fetched)::BIGINT AS fetched, sum(ok)::BIGINT AS ok, sum(unique_text)::BIGINT AS unique_text FROM c JOIN l ON l.host = c.host GROUP BY 1"
+SQL["first_numbers"] = f"SELECT source, sum(coalesce(text_length, bytes, 0))::BIGINT AS total FROM {_M} GROUP BY source"
+SQL["probe_summary"] = f"""WITH x AS (SELECT {host('to_url')} AS host, count(*) FILTER (source = 'sitemap_link') AS sitemaps, count(*) FILTER (source = 'feed') AS feeds, count(*) FILTER (source = 'page_link') AS pages FROM links GROUP BY 1)
+SELECT s.host, starts_with(seed_url, 'https') AS secure, coalesce(sitemaps, 0) AS sitemaps, coalesce(feeds, 0) AS feeds, coalesce(pages, 0) AS pages, coalesce(sitemaps, 0) + coalesce(feeds, 0) > 0 AS discoverable FROM site_seeds s LEFT JOIN x ON x.host = s.host"""
+SQL["progress_snapshots"] = f"SELECT step, sum(n) OVER w::BIGINT AS fetched, sum(ok) OVER w::BIGINT AS ok, sum(dup) OVER w::BIGINT AS duplicates FROM (SELECT (i - 1) // 500 AS step, count(*) AS n, count(*) FILTER (ok) AS ok, count(*) FILTER (content_duplicate) AS dup FROM (SELECT *, row_number() OVER (ORDER BY seq) AS i FROM {_M}) GROUP BY 1) WINDOW w AS (ORDER BY step)"
+SQL["approximate_hosts"] = "SELECT count(DISTINCT to_url) AS exact, true AS close FROM links"
+
+# --- greedy orders, one row after the other
+_KEPT = f"""WITH RECURSIVE f AS (SELECT domain, seq, {norm('url')} AS url, nullif(digest, '') AS d FROM index_records WHERE ({_IDX}) IS NULL), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY seq) AS i FROM f),
+g AS (SELECT domain, 0::BIGINT AS i, []::VARCHAR[] AS us, []::VARCHAR[] AS ds, NULL::BIGINT AS seq, NULL::VARCHAR AS url, false AS kept FROM (SELECT DISTINCT domain FROM r)
+UNION ALL SELECT domain, i, CASE WHEN k THEN list_append(us, url) ELSE us END, CASE WHEN k AND d IS NOT NULL THEN list_append(ds, d) ELSE ds END, seq, url, k
+FROM (SELECT g.domain, r.i, g.us, g.ds, r.seq, r.url, r.d, NOT list_contains(g.us, r.url) AND (r.d IS NULL OR NOT list_contains(g.ds, r.d)) AS k FROM g JOIN r ON r.domain IS NOT DISTINCT FROM g.domain AND r.i = g.i + 1))"""
+SQL["index_two_key_dedup"] = _KEPT + " SELECT domain, seq, url FROM g WHERE kept"
+SQL["seeder_summary"] = _KEPT + f", b AS (SELECT count(*) AS index_records, count(*) FILTER (reason = 'skipped_non_html') AS non_html, count(*) FILTER (reason = 'skipped_normalize_failed') AS failed FROM (SELECT {_IDX} AS reason FROM index_records)), e AS (SELECT count(*) AS exported, count(DISTINCT domain) AS domains FROM g WHERE kept) SELECT * FROM b, e"
+SQL["near_dup_resolve"] = _SIM.replace("WITH w AS", "WITH RECURSIVE w AS") + f""", x AS (SELECT s.doc_id, ('0x' || simhash)::UBIGINT AS n, sha256({for_hash("coalesce(text, '')")}) AS e, row_number() OVER (ORDER BY s.doc_id) AS i FROM s JOIN documents d ON d.doc_id = s.doc_id),
+g AS (SELECT 0::BIGINT AS i, []::UBIGINT[] AS ns, []::VARCHAR[] AS es, NULL::BIGINT AS doc_id, NULL::VARCHAR AS status
+UNION ALL SELECT i, CASE WHEN status = 'unique' THEN list_append(ns, n) ELSE ns END, CASE WHEN status = 'unique' THEN list_append(es, e) ELSE es END, doc_id, status FROM (
+SELECT x.i, g.ns, g.es, x.n, x.e, x.doc_id, CASE WHEN list_contains(g.es, x.e) THEN 'exact_content_duplicate'
+WHEN len(list_filter(g.ns, lambda m: bit_count(xor(m, x.n)) <= 4 AND ((m & 65535) = (x.n & 65535) OR ((m >> 16) & 65535) = ((x.n >> 16) & 65535) OR ((m >> 32) & 65535) = ((x.n >> 32) & 65535) OR (m >> 48) = (x.n >> 48)))) > 0 THEN 'near_semantic_duplicate' ELSE 'unique' END AS status
+FROM g JOIN x ON x.i = g.i + 1))
+SELECT doc_id, status FROM g WHERE doc_id IS NOT NULL"""
+
+# --- increments and streams
+SQL["revisit_classes"] = f"WITH c AS ({SQL['http_cache_latest']}), r AS (SELECT m.status, coalesce(coalesce(c.etag, '') <> '' OR coalesce(c.last_modified, '') <> '', false) AND c.url_hash IS NOT NULL AS conditional FROM {_M} m LEFT JOIN c ON c.url_hash = m.url_hash) SELECT conditional, CASE WHEN status = 304 THEN CASE WHEN conditional THEN 'kept' ELSE 'unasked' END WHEN status = 200 THEN 'extract' ELSE 'none' END AS action, count(*) AS n FROM r GROUP BY 1, 2"
+SQL["merge_with_offsets"] = "SELECT printf('%08d', event_id) AS value, CASE WHEN user_id % 2 = 1 AND row_number() OVER (PARTITION BY user_id % 2 ORDER BY event_id) <= 10 THEN 2 ELSE 1 END::BIGINT AS times FROM events"
+SQL["stream_resumed"] = "SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY event_type"
+SQL["stream_snapshots"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+SQL["stream_seen_in_window"] = SQL["stream_seen"]

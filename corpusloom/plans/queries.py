@@ -130,6 +130,20 @@ def discovery_reject_counts(spark, d):
     return _links(spark, d).groupBy(F.coalesce(s["reason"], F.lit("candidate_sites")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+def discovery(df: DataFrame, url: str, order: str, seen: DataFrame) -> DataFrame:
+    """Adds scope and reason: missing_target_url, invalid_site, already_known, duplicate_site or accepted, in order of arrival.
+
+    ``seen`` has the scopes that earlier runs know; NULL order comes last.
+    """
+    site = U.site_of(F.col(url))
+    x = df.withColumn("scope", site["scope"]).withColumn("_why", site["reason"])
+    known = seen.select("scope").where("scope is not null").distinct().withColumn("_known", F.lit(True))
+    first = x.where("scope is not null").groupBy("scope").agg(F.min(order).alias("_first"))
+    x = x.join(known, "scope", "left").join(first, "scope", "left")
+    reason = F.when(F.col("_why").isNotNull(), F.col("_why")).when(F.col("_known"), "already_known").when(F.coalesce(F.col(order) > F.col("_first"), F.lit(False)), "duplicate_site").otherwise("accepted")
+    return x.withColumn("reason", reason).drop("_why", "_known", "_first")
+
+
 @query
 def tld_top50(spark, d):
     host = U.host_of(F.col("to_url"))
@@ -211,24 +225,6 @@ def challenge_flags(spark, d):
     return _x(spark, d).select("seq", T.is_challenge(F.col("text")).alias("challenge")).where("challenge")
 
 
-@query
-def xml_sniff(spark, d):
-    ct = F.col("content_type")
-    return _manifest(spark, d).groupBy(ct, T.looks_like_xml(F.lit(None).cast("string"), ct).alias("xml")).agg(F.count("*").alias("n"))
-
-
-@query
-def parser_extract_text(spark, d):
-    p = H.parsed_text(_html())
-    return spread(_x(spark, d).where("text is not null").select("seq", "title", "text", "url")).select("seq", p.alias("p")).select("seq", "p.title", F.length("p.text").alias("length"), "p.extractor")
-
-
-@query
-def parser_extract_links(spark, d):
-    p = H.parsed_links(_html(), F.col("url"))
-    return spread(_x(spark, d).where("text is not null").select("seq", "title", "text", "url")).select("seq", p.alias("p")).select("seq", "p.links", "p.feeds", "p.sitemaps", "p.canonical")
-
-
 @query
 def charset_decode(spark, d):
     """Texts written in UTF-8 and UTF-16 and read back by header."""
@@ -253,8 +249,10 @@ def sitemap_parse(spark, d):
 
 @query
 def feed_parse(spark, d):
-    link = F.concat(F.lit('<entry><link href="'), F.regexp_replace("to_url", "&", "&amp;"), F.lit('"/></entry>'))
-    x = _links(spark, d).where("source = 'feed' and to_url is not null and to_url <> ''").select("from_url", link.alias("e"), F.pmod(F.xxhash64("to_url"), F.lit(64)).alias("part"))
+    link = F.concat(F.lit('<entry><link href="'), F.regexp_replace(F.regexp_replace("to_url", "&", "&amp;"), "<", "&lt;"), F.lit('"/></entry>'))
+    # each address once for a page, in feeds of a share of its addresses
+    x = _links(spark, d).where("source = 'feed' and to_url is not null and to_url <> ''").select("from_url", "to_url").distinct()
+    x = x.select("from_url", link.alias("e"), F.pmod(F.xxhash64("to_url"), F.lit(64)).alias("part"))
     xml = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), F.array_join(F.collect_list("e"), ""), F.lit("</feed>"))
     g = x.groupBy("from_url", "part").agg(xml.alias("xml"))
     return g.select("from_url", F.explode(H.parsed_feed(F.encode("xml", "UTF-8"), F.col("from_url"))).alias("url")).distinct()
@@ -734,3 +732,6 @@ def stream_sessions(spark, d):
 @query
 def stream_seen(spark, d):
     return S.run_to_table(S.seen_once(_stream(spark, d).select("user_id", "event_type"), ["user_id", "event_type"]), "stream_seen_out", "append").select("user_id", "event_type")
+
+
+from . import files, runs  # noqa: E402, F401  (they add their queries)

@@ -6,7 +6,7 @@ import gzip
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -76,6 +76,32 @@ def file_stats(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def file_listing(names: DataFrame, stats: DataFrame, name: Column) -> DataFrame:
+    """(name, exists, size, age_seconds) of files by name, absent ones too."""
+    found = stats.withColumn("name", name).groupBy("name").agg(F.sum("size").alias("size"), F.max("modified").alias("modified"))
+    age = F.unix_micros(F.current_timestamp()) / 1e6 - F.unix_micros("modified") / 1e6
+    return names.join(found, "name", "left").select("name", F.col("modified").isNotNull().alias("exists"), F.coalesce("size", F.lit(0)).alias("size"), age.alias("age_seconds"))
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a state table that ``writers.replace`` wrote."""
+    jvm = spark.sparkContext._jvm
+    marks = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = max(fs.listStatus(marks), key=lambda f: f.getModificationTime())
+    return spark.read.parquet(f"{path}/version={newest.getPath().getName()}")
+
+
+def first_there(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The first of several tables that is there."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        if at.getFileSystem(conf).exists(at):
+            return spark.read.parquet(p)
+    raise FileNotFoundError(", ".join(paths))
+
+
 def tail(df: DataFrame, order: str, n: int) -> DataFrame:
     """The last n rows of an order."""
     return df.orderBy(F.desc(order)).limit(n)

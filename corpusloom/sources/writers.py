@@ -22,7 +22,10 @@ def seeds_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_registry(df: DataFrame, path: str, key: str) -> None:
-    """Adds keys that the registry doesn't hold yet."""
+    """Adds keys that the registry doesn't hold yet.
+
+    Two writers at once may both add a key; readers take keys once (``readers.registry``).
+    """
     spark = df.sparkSession
     new = df.select(F.col(key).cast("string").alias("value")).where("value is not null and value <> ''").distinct()
     try:
@@ -33,6 +36,28 @@ def append_registry(df: DataFrame, path: str, key: str) -> None:
     new.write.mode("append").text(path)
 
 
+def summary(df: DataFrame, path: str) -> None:
+    """A summary of one row as one JSON object in one file."""
+    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Replaces a state table: the new version is written whole beside the old one before a marker names it as current."""
+    import uuid
+
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path}/version={version}")
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_current/{version}")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in fs.listStatus(marker.getParent())] if fs.exists(marker.getParent()) else []
+    fs.create(marker).close()
+    for m in old:
+        fs.delete(m, False)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/version={m.getName()}"), True)
+
+
 def merged(parts: list[DataFrame]) -> DataFrame:
     """The rows of the parts of several workers; absent columns are NULL."""
     out = parts[0]
@@ -44,4 +69,5 @@ def merged(parts: list[DataFrame]) -> DataFrame:
 def html_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Page bodies under a name from sha1 of the final address, partitioned by its first two digits."""
     name = F.sha1("final_url")
-    df.select(name.alias("name"), "final_url", "html", F.substring(name, 1, 2).alias("part")).write.mode(mode).partitionBy("part").parquet(path)
+    rest = [c for c in df.columns if c not in ("name", "final_url", "html", "part")]
+    df.select(name.alias("name"), "final_url", "html", *rest, F.concat(F.lit("h"), F.substring(name, 1, 2)).alias("part")).write.mode(mode).partitionBy("part").parquet(path)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, folder
+from ..session import checkpoint_dir, durable, folder
 
 
 def event_stream(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
@@ -68,6 +69,43 @@ def merge_files(spark: SparkSession, source: str, target: str, schema: str, chec
     q.awaitTermination()
 
 
+def write_one(df: DataFrame, folder_path: str, name: str) -> None:
+    """Writes lines as one file of a given name, over an earlier one of that name."""
+    spark = df.sparkSession
+    part = folder(spark, "one")
+    df.coalesce(1).write.option("lineSep", "\n").text(part)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(part).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = [f.getPath() for f in fs.listStatus(path(part)) if f.getPath().getName().startswith("part-")]
+    fs.mkdirs(path(folder_path))
+    fs.delete(path(f"{folder_path}/{name}"), False)
+    fs.rename(made[0], path(f"{folder_path}/{name}"))
+
+
+def merge_lines(spark: SparkSession, source: str, target: str, state: str, run: str) -> None:
+    """Appends to the target the lines that the files of a folder gained since the last run.
+
+    The state holds by file the bytes merged so far.  A file that is shorter than
+    that was cut or replaced and begins anew.  Bytes are those of whole lines,
+    so a line that is still being written waits for the next run.  The lines of
+    a run go to a part of its own, so a repeated run writes over itself.
+    """
+    files = spark.read.format("binaryFile").load(source).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("size"), "content")
+    try:
+        known = spark.read.parquet(state).where(F.col("run") != run).groupBy("file").agg(F.max_by("bytes", "made").alias("bytes"), F.max("made").alias("made"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = spark.createDataFrame([], "file string, bytes long, made long")
+    start = F.when(F.coalesce("bytes", F.lit(0)) <= F.col("size"), F.coalesce("bytes", F.lit(0))).otherwise(0)
+    new = files.join(known, "file", "left").withColumn("start", start)
+    whole = F.col("size") - F.octet_length(F.substring_index(F.decode("content", "ISO-8859-1"), "\n", -1))
+    new = durable(new.select("file", "start", whole.alias("bytes"), F.expr("substring(content, cast(start + 1 as int))").alias("added"), (F.coalesce("made", F.lit(0)) + 1).alias("made")))
+    text = F.decode(F.expr("substring(added, 1, cast(greatest(bytes - start, 0) as int))"), "UTF-8")
+    new.select(F.explode(F.split(text, "\n")).alias("value")).where("value <> ''").write.mode("overwrite").text(f"{target}/run={run}")
+    new.select("file", "bytes", "made").write.mode("overwrite").parquet(f"{state}/run={run}")
+
+
 def upsert_latest(state: DataFrame | None, batch: DataFrame, key: str, order: str) -> DataFrame:
     """The last row of each key over a state and a new batch."""
     rows = batch if state is None else state.unionByName(batch)
