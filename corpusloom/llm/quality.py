@@ -186,8 +186,22 @@ def lines_span(lines: list[tuple[list[int], int, int]]) -> Span:
 
 def page_counts(page: B.Page) -> list[int]:
     """The counts from ``body`` on of a page that was read whole; the same as its merged chunks give."""
-    zeros = [0] * _BODY
-    return lines_span([(zeros + body_counts(g), g[1], g[2]) for g in page.got]).counts[_BODY:]
+    c = [0] * (len(COUNTS) - _BODY)
+    state, short, item = NONE, B.SHORT, B.ITEM
+    for x, furn, kind, words, stops, ends in page.got:
+        if furn > 0:
+            state = HEADED if furn == 2 else NONE
+        elif furn == 0:
+            if state and (kind == short or kind == item) and (state == HEADED or state == kind):
+                state = kind
+                continue
+            state = NONE
+            c[0] += 1
+            c[1] += words
+            c[2] += stops
+            c[3] += ends
+            c[3 + kind] += len(x)
+    return c
 
 
 def tree(a: B.Analyzer, parts: list[Partial]) -> Partial:

@@ -69,6 +69,7 @@ def test_chunks_give_the_counts_of_the_whole(lines, cuts):
             state = "any" if furn == 2 else None
         body = [x + y for x, y in zip(body, c[10:])]
     assert whole == [sum(c[0][i] for c in each) for i in range(10)] + body
+    assert quality.page_counts(a.page(text, None)) == body
     assert quality.tree(a, parts).close(a) == whole
     left = parts[0]
     for p in parts[1:]:
