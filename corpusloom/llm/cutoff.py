@@ -226,7 +226,7 @@ def judge(found: DataFrame) -> DataFrame:
     loose = (F.col("stopped") + F.col("unended") >= BASE_TEXTS) & (F.col("unended") > LOOSE * (F.col("stopped") + F.col("unended")))
     usage = usage.select(F.col("source").alias("_usage"), sloppy.alias("sloppy"), loose.alias("loose"))
     docs = docs.join(usage, F.col("source").eqNullSafe(F.col("_usage")), "left").drop("_usage")
-    docs = docs.withColumn("state", F.when(unended, F.when(F.col("loose"), OPEN).otherwise(CUT)).otherwise(F.col("state"))).withColumn("left", F.col("left") & ~F.col("sloppy"))
+    docs = durable(docs.withColumn("state", F.when(unended, F.when(F.col("loose"), OPEN).otherwise(CUT)).otherwise(F.col("state"))).withColumn("left", F.col("left") & ~F.col("sloppy")).drop("sloppy", "loose"))
     # words and the most frequent longer word of each start, by equal keys only: starts of up to LONG letters, and for longer last words those of LONG
     counts = found.where("kind = 1").groupBy("word").agg(F.sum("count").alias("c"))
     frequent = counts.where((F.length("word") > 3) & (F.col("c") >= CUT_LEAST))
