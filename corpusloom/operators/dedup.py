@@ -117,20 +117,23 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(n(a).bitwiseXOR(n(b)))
 
 
-def block_keys(simhash: Column, threshold: int) -> Column:
-    """Keys one of which any two hashes share that share a 16-bit band and differ in at most ``threshold`` bits.
+def block_keys(n: Column, threshold: int) -> Column:
+    """Keys of 64-bit numbers, one of which any two share that share a 16-bit band and differ in at most ``threshold`` bits.
 
     The 48 bits outside a shared band are cut in threshold + 1 blocks; at most
     ``threshold`` of them can differ, so one is equal.  Band and block together
     make keys far rarer than bands alone.
     """
-    bits = F.concat(*[F.lpad(F.conv(simhash.substr(F.lit(1 + 4 * i), F.lit(4)), 16, 2), 16, "0") for i in range(4)])
     keys = []
     for band in range(4):
-        rest = F.concat(bits.substr(F.lit(1), F.lit(16 * band)), bits.substr(F.lit(16 * band + 17), F.lit(64)))
+        at = 16 * band
+        own = F.shiftrightunsigned(n, at).bitwiseAND(0xFFFF)
+        low = n.bitwiseAND((1 << at) - 1)
+        rest = low.bitwiseOR(F.shiftleft(F.shiftrightunsigned(n, at + 16), at)) if band < 3 else low
         for block in range(threshold + 1):
             start, end = 48 * block // (threshold + 1), 48 * (block + 1) // (threshold + 1)
-            keys.append(F.xxhash64(F.lit(16 * band + block), bits.substr(F.lit(16 * band + 1), F.lit(16)), rest.substr(F.lit(start + 1), F.lit(end - start))))
+            part = F.shiftrightunsigned(rest, start).bitwiseAND((1 << (end - start)) - 1)
+            keys.append(F.shiftleft(F.shiftleft(own, end - start).bitwiseOR(part), 8) + F.lit(16 * band + block))
     return F.array(*keys)
 
 
@@ -141,11 +144,15 @@ def near_pairs(hashes: DataFrame, key: str, threshold: int = 4) -> DataFrame:
     pairs with each other; the join is on ``block_keys``, with band and distance
     as residual conditions.
     """
-    each = hashes.select(key, "simhash", F.explode(block_keys(F.col("simhash"), threshold)).alias("block"))
-    l = each.select(F.col(key).alias("a"), F.col("simhash").alias("ha"), "block")
-    r = each.select(F.col(key).alias("b"), F.col("simhash").alias("hb"), "block")
-    pairs = l.join(r, "block").where("a < b").withColumn("distance", hamming(F.col("ha"), F.col("hb"))).where(F.col("distance") <= threshold)
-    return pairs.where(F.arrays_overlap(bands(F.col("ha")), bands(F.col("hb")))).select("a", "b", "distance").distinct()
+    each = hashes.select(key, F.conv("simhash", 16, -10).cast("long").alias("n")).select(key, "n", F.explode(block_keys(F.col("n"), threshold)).alias("block"))
+    l = each.select(F.col(key).alias("a"), F.col("n").alias("na"), "block")
+    r = each.select(F.col(key).alias("b"), F.col("n").alias("nb"), "block")
+    differ = F.col("na").bitwiseXOR(F.col("nb"))
+    band = F.lit(False)
+    for i in range(4):
+        band = band | (F.shiftrightunsigned(differ, 16 * i).bitwiseAND(0xFFFF) == 0)
+    pairs = l.join(r, "block").where("a < b").withColumn("distance", F.bit_count(differ)).where((F.col("distance") <= threshold) & band)
+    return pairs.select("a", "b", "distance").distinct()
 
 
 def near_resolve(df: DataFrame, key: str, threshold: int = 4) -> DataFrame:

@@ -358,13 +358,13 @@ SQL["progress_snapshots"] = f"SELECT step, sum(n) OVER w::BIGINT AS fetched, sum
 SQL["approximate_hosts"] = "SELECT count(DISTINCT to_url) AS exact, true AS close FROM links"
 
 # --- greedy orders, one row after the other
-_KEPT = f"""WITH RECURSIVE f AS (SELECT domain, seq, {norm('url')} AS url, nullif(digest, '') AS d FROM index_records WHERE ({_IDX}) IS NULL), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY seq) AS i FROM f),
+_KEPT = f"""WITH RECURSIVE f AS (SELECT domain, seq, {norm('url')} AS url, nullif(digest, '') AS d FROM index_records WHERE ({_IDX}) IS NULL), r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY seq) AS i FROM f),
 g AS (SELECT domain, 0::BIGINT AS i, []::VARCHAR[] AS us, []::VARCHAR[] AS ds, NULL::BIGINT AS seq, NULL::VARCHAR AS url, false AS kept FROM (SELECT DISTINCT domain FROM r)
 UNION ALL SELECT domain, i, CASE WHEN k THEN list_append(us, url) ELSE us END, CASE WHEN k AND d IS NOT NULL THEN list_append(ds, d) ELSE ds END, seq, url, k
 FROM (SELECT g.domain, r.i, g.us, g.ds, r.seq, r.url, r.d, NOT list_contains(g.us, r.url) AND (r.d IS NULL OR NOT list_contains(g.ds, r.d)) AS k FROM g JOIN r ON r.domain IS NOT DISTINCT FROM g.domain AND r.i = g.i + 1))"""
 SQL["index_two_key_dedup"] = _KEPT + " SELECT domain, seq, url FROM g WHERE kept"
 SQL["seeder_summary"] = _KEPT + f", b AS (SELECT count(*) AS index_records, count(*) FILTER (reason = 'skipped_non_html') AS non_html, count(*) FILTER (reason = 'skipped_normalize_failed') AS failed FROM (SELECT {_IDX} AS reason FROM index_records)), e AS (SELECT count(*) AS exported, count(DISTINCT domain) AS domains FROM g WHERE kept) SELECT * FROM b, e"
-SQL["near_dup_resolve"] = _SIM.replace("WITH w AS", "WITH RECURSIVE w AS") + f""", x AS (SELECT s.doc_id, ('0x' || simhash)::UBIGINT AS n, sha256({for_hash("coalesce(text, '')")}) AS e, row_number() OVER (ORDER BY s.doc_id) AS i FROM s JOIN documents d ON d.doc_id = s.doc_id),
+SQL["near_dup_resolve"] = _SIM.replace("WITH w AS", "WITH RECURSIVE w AS") + f""", x AS MATERIALIZED (SELECT s.doc_id, ('0x' || simhash)::UBIGINT AS n, sha256({for_hash("coalesce(text, '')")}) AS e, row_number() OVER (ORDER BY s.doc_id) AS i FROM s JOIN documents d ON d.doc_id = s.doc_id),
 g AS (SELECT 0::BIGINT AS i, []::UBIGINT[] AS ns, []::VARCHAR[] AS es, NULL::BIGINT AS doc_id, NULL::VARCHAR AS status
 UNION ALL SELECT i, CASE WHEN status = 'unique' THEN list_append(ns, n) ELSE ns END, CASE WHEN status = 'unique' THEN list_append(es, e) ELSE es END, doc_id, status FROM (
 SELECT x.i, g.ns, g.es, x.n, x.e, x.doc_id, CASE WHEN list_contains(g.es, x.e) THEN 'exact_content_duplicate'
