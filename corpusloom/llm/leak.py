@@ -278,3 +278,9 @@ i AS (SELECT DISTINCT id, array_to_string(list_slice(w, k, k + 11), ' ') AS g FR
 j AS (SELECT DISTINCT id, array_to_string(list_slice(w, k, k + 11), ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 10)) AS k FROM d WHERE len(w) >= 12))
 SELECT DISTINCT j.id AS doc_id, i.id AS item_id FROM j JOIN i ON i.g = j.g""",
 }
+_SPANS = SQL["p9_found"].split("j AS (")[0] + """x AS (SELECT id, w, unnest(range(1, len(w) - 10)) AS k FROM d WHERE len(w) >= 12),
+p AS (SELECT DISTINCT x.id AS doc_id, i.id AS item_id, k - 1 AS pos FROM x JOIN i ON i.g = array_to_string(list_slice(w, k, k + 11), ' ')),
+r AS (SELECT *, coalesce(pos > lag(pos) OVER (PARTITION BY doc_id, item_id ORDER BY pos) + 12, false)::INT AS new FROM p), s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, item_id ORDER BY pos) AS part FROM r),
+spans AS (SELECT doc_id, item_id, min(pos)::INT AS first_word, (max(pos) + 11)::INT AS last_word FROM s GROUP BY doc_id, item_id, part)"""
+SQL["p9_spans"] = _SPANS + " SELECT * FROM spans"
+SQL["p9_items"] = _SPANS + " SELECT item_id, count(DISTINCT doc_id) AS docs, count(*) AS spans, max(last_word - first_word + 1)::INT AS longest FROM spans GROUP BY item_id"

@@ -173,3 +173,6 @@ SQL = {
     "p6_found": f"WITH {_SQL_LINES}, {_SQL_EXCESS.format(name='e', where='')} SELECT DISTINCT k.seq, k.line_no::INT AS line_no FROM k JOIN e ON e.host = k.host AND e.line = k.line",
     "p6_crossed": f"WITH {_SQL_LINES}, {_BY_BATCH} SELECT DISTINCT c.upto::INT AS batch_id, k.seq, k.line_no::INT AS line_no FROM k JOIN c ON c.host = k.host AND c.line = k.line AND coalesce(k.batch_id, 0) <= c.upto",
 }
+SQL["p6_stripped"] = f"""{SQL['p6_found'].split(' SELECT DISTINCT k.seq')[0]}, f AS (SELECT DISTINCT k.seq, k.line_no FROM k JOIN e ON e.host = k.host AND e.line = k.line),
+z AS (SELECT seq, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM extracted_text WHERE seq IN (SELECT seq FROM f))
+SELECT z.seq, coalesce(string_agg(z.x, chr(10) ORDER BY z.i) FILTER (f.seq IS NULL), '') AS text FROM z LEFT JOIN f ON f.seq = z.seq AND f.line_no = z.i GROUP BY z.seq"""
